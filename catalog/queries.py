@@ -94,7 +94,7 @@ def _raw_provider() -> Column:
 
 def raw_rows(spark: SparkSession, sf: str) -> DataFrame:
     """One nested provider per source row, with the audit columns and SRC_KEY."""
-    src = provider_src(spark, sf)
+    src = provider_src(spark, sf, heavy=True)
     return src.select(_raw_provider().alias("_p"), *AUDIT, "SRC_KEY").select("_p.*", *AUDIT, "SRC_KEY")
 
 
@@ -104,7 +104,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
     twin = one.withField("number", F.concat("ProviderID", F.lit("T")))
     results = F.when(key % 10 != 9, F.when(key % 3 == 0, F.array(one, twin)).otherwise(F.array(one)))
     document = F.struct(F.size(results).alias("result_count"), results.alias("results"))
-    return provider_src(spark, sf).select(F.to_json(document).alias("value"))
+    return provider_src(spark, sf, heavy=True).select(F.to_json(document).alias("value"))
 
 
 def _write_responses(spark: SparkSession, sf: str, path: str) -> None:
@@ -113,7 +113,7 @@ def _write_responses(spark: SparkSession, sf: str, path: str) -> None:
 
 def flat_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Flat records with the audit columns, as the payload builder takes them."""
-    return silver_shape(provider_src(spark, sf))
+    return silver_shape(provider_src(spark, sf, heavy=True))
 
 
 def bronze_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -343,7 +343,7 @@ def codbase_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def payload_build(spark: SparkSession, sf: str) -> DataFrame:
-    flat = silver_shape(provider_src(spark, sf)).select(
+    flat = flat_rows(spark, sf).select(
         *ATTRIBUTES, F.regexp_extract("FILE_NAME", "[0-9]+", 0).alias("LOAD_YEAR")
     )
     parsed = flat.select("LOAD_YEAR", F.from_json(payload.payload_json(), PAYLOAD).alias("p"))

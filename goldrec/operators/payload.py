@@ -108,8 +108,15 @@ def envelopes(flat: DataFrame, stamp: BatchStamp | None = None) -> DataFrame:
 
 
 def parse_payload(bronze: DataFrame) -> DataFrame:
-    """Typed payload beside its text; malformed text gives a payload of NULLs."""
-    return bronze.withColumn("provider", F.from_json("PROVIDER_JSON", PAYLOAD))
+    """Typed payload beside its text; malformed text gives a payload of NULLs.
+
+    PAYLOAD_ID is a digest that stands for the text in grouping keys, so that the text
+    itself is neither multiplied by the explode nor shuffled.
+    """
+    return bronze.withColumns({
+        "provider": F.from_json("PROVIDER_JSON", PAYLOAD),
+        "PAYLOAD_ID": F.sha2("PROVIDER_JSON", 256),
+    })
 
 
 def explode_fields(parsed: DataFrame) -> DataFrame:
@@ -125,6 +132,7 @@ def fieldless(parsed: DataFrame) -> DataFrame:
 def flatten_fields(exploded: DataFrame) -> DataFrame:
     return exploded.select(
         "PROVIDER_JSON",
+        "PAYLOAD_ID",
         F.col("field.name").alias("FIELD_NAME"),
         F.get("field.values", F.lit(0)).alias("FIELD_VALUE"),
         F.col("field.method").alias("MATCH_METHOD"),
@@ -136,10 +144,11 @@ def flatten_fields(exploded: DataFrame) -> DataFrame:
 def pivot_fields(fields: DataFrame) -> DataFrame:
     """Fields back to columns by a grouped pivot with the attribute names given.
 
-    Shuffles the payload text; ``extract_fields`` gives the same rows from narrower ones.
+    Shuffles one row per field; ``extract_fields`` gives the same rows and shuffles one
+    row per payload.
     """
     return (
-        fields.groupBy("PROVIDER_JSON", *AUDIT)
+        fields.groupBy("PAYLOAD_ID", *AUDIT)
         .pivot("FIELD_NAME", ATTRIBUTES)
         .agg(F.first("FIELD_VALUE"))
         .select(*SILVER_COLUMNS)
@@ -157,7 +166,7 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
     # a filter would be pushed below the parse and so parse every text twice.
     kept = parsed.select(
         *AUDIT,
-        F.sha2("PROVIDER_JSON", 256).alias("_digest"),
+        "PAYLOAD_ID",
         F.explode(F.when(F.size(fields) > 0, F.array(fields))).alias("_f"),
     )
 
@@ -165,8 +174,8 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
         at = (F.array_position("_f.name", name) - 1).cast("int")
         return F.get(F.get("_f.values", at), F.lit(0)).alias(name)
 
-    rows = kept.select(*[first_value(a) for a in ATTRIBUTES], *AUDIT, "_digest")
-    return rows.distinct().drop("_digest")
+    rows = kept.select(*[first_value(a) for a in ATTRIBUTES], *AUDIT, "PAYLOAD_ID")
+    return rows.distinct().drop("PAYLOAD_ID")
 
 
 def clean_strings(df: DataFrame) -> DataFrame:

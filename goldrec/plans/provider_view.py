@@ -6,16 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.schemas import SILVER_COLUMNS
+from goldrec.session import spread
 
 
-def provider_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """18 attributes, 7 audit columns and the unique ``SRC_KEY``."""
+def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """18 attributes, 7 audit columns and the unique ``SRC_KEY``.
+
+    ``heavy`` announces CPU-heavy work per row, for which a scan of few partitions is
+    spread over all task slots.
+    """
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+    orders = read("orders")
     rows = (
-        read("orders")
+        (spread(orders) if heavy else orders)
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "goldrec", **conf: str) -> SparkSession:
@@ -39,3 +39,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = os.path.join(tempfile.gettempdir(), "goldrec")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a file scan with fewer partitions than task slots before CPU-heavy work.
+
+    A large table has more partitions than slots and is returned as it is, unshuffled.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)
