@@ -392,7 +392,7 @@ def new_batch_anti(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def json_parse(spark: SparkSession, sf: str) -> DataFrame:
     """Every tenth text is cut short and so malformed."""
-    events = spark.read.parquet(f"{sf}/events.parquet")
+    events = spark.read.schema("event_id BIGINT, props STRING").parquet(f"{sf}/events.parquet")
     text = F.when(F.col("event_id") % 10 == 0, F.substring("props", 1, 4)).otherwise(F.col("props"))
     return events.select("event_id", F.from_json(text, "k BIGINT")["k"].alias("k"))
 

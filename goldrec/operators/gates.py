@@ -20,11 +20,16 @@ def unbatched(df: DataFrame) -> DataFrame:
 def new_batches(
     src: DataFrame, done: DataFrame | None, skew: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
-    """Rows of batches that the target does not hold yet; no target means all batches."""
+    """Rows of batches that the target does not hold yet; no target means all batches.
+
+    The new batches are found from the batch columns alone and then selected by name, so
+    a source partitioned by batch is read for these batches only.
+    """
     batched = src.filter(F.col("BATCH_ID").isNotNull())
     if done is None:
         return batched
-    return restrict(batched, batch_list(done), ["BATCH_ID"], "left_anti", skew)
+    wanted = batch_list(batched).join(batch_list(done), "BATCH_ID", "left_anti")
+    return restrict(batched, wanted, ["BATCH_ID"], "left_semi", skew)
 
 
 def batch_presence(spark: SparkSession, table: str, batch_id: str) -> int:
@@ -78,11 +83,7 @@ def gate_export(
     gold: DataFrame, log: DataFrame | None, skew: SkewPolicy = DEFAULT_SKEW
 ) -> DataFrame:
     """Rows of batches without a successful export."""
-    if log is None:
-        return gold
-    return restrict(
-        gold, batch_list(log.filter("STATUS = 'SUCCESS'")), ["BATCH_ID"], "left_anti", skew
-    )
+    return new_batches(gold, None if log is None else log.filter("STATUS = 'SUCCESS'"), skew)
 
 
 class BatchMismatch(ValueError):

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 class SkewPolicy:
     hot_rows: int = 1_000_000  # groups above this many rows are split
     max_hot: int = 10_000  # most groups that are ever broadcast
-    small_rows: int = 200_000  # key lists up to this many rows may be broadcast
+    listed: int = 1_000  # key lists up to this length become a filter
+    small_rows: int = 200_000  # key lists up to this length may be broadcast
     replicas: int = 64  # copies of a key list too long to broadcast
 
 
@@ -196,12 +197,22 @@ def restrict(
 ) -> DataFrame:
     """Semi or anti join of rows against a list of distinct keys such as batch ids.
 
-    The list is broadcast only after its length is checked. A longer list is replicated
-    and the rows salted, so that one key with most of the rows still spreads.
+    The length of the list is checked first. A short list of one column becomes a filter,
+    which prunes partitions and is pushed into the scan; a longer one is broadcast. One
+    too long for that is replicated and the rows salted, so that a key with most of the
+    rows still spreads. A NULL key matches nothing.
     """
+    on = list(on)
+    keys = keys.select(*on).na.drop()
+    if len(on) == 1:
+        found = keys.limit(skew.listed + 1).collect()
+        if len(found) <= skew.listed:
+            listed = F.col(on[0]).isin([r[0] for r in found])
+            return df.filter(listed if how == "left_semi" else ~F.coalesce(listed, F.lit(False)))
     if keys.limit(skew.small_rows + 1).count() <= skew.small_rows:
-        return df.join(F.broadcast(keys), list(on), how)
-    copies = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(skew.replicas - 1))))
-    copies = copies.withColumn("_salt", F.col("_salt").cast("long"))
+        return df.join(F.broadcast(keys), on, how)
+    copies = keys.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(skew.replicas - 1))).cast("long")
+    )
     salted = df.withColumn("_salt", F.pmod(row_hash(df), F.lit(skew.replicas)).cast("long"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

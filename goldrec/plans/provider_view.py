@@ -9,6 +9,16 @@ from goldrec.schemas import SILVER_COLUMNS
 from goldrec.session import spread
 
 
+# Declared columns of the given tables: no job is spent on finding out the schema.
+TABLES = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey BIGINT, c_mktsegment STRING",
+    "nation": "n_nationkey BIGINT, n_name STRING, n_regionkey BIGINT",
+    "region": "r_regionkey BIGINT, r_name STRING",
+}
+
+
 def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """18 attributes, 7 audit columns and the unique ``SRC_KEY``.
 
@@ -17,7 +27,7 @@ def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataF
     """
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     orders = read("orders")
     rows = (

@@ -41,7 +41,7 @@ def ingest_files(
     """Append new envelope files to the bronze table.
 
     ``multiline`` reads files that hold one JSON array; JSON Lines files need no option
-    and can be split.
+    and can be split. The table is partitioned by batch, which later steps select by.
     """
     rows = (
         spark.readStream.schema(BRONZE)
@@ -49,7 +49,12 @@ def ingest_files(
         .option("recursiveFileLookup", True)
         .json(source)
     )
-    writer = rows.writeStream.format("parquet").outputMode("append").option("path", bronze)
+    writer = (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", bronze)
+        .partitionBy("BATCH_ID")
+    )
     return start(writer, checkpoint, every)
 
 

@@ -73,12 +73,16 @@ def test_hot_list_is_bounded(skewed):
 
 
 @pytest.mark.parametrize("how", ["left_anti", "left_semi"])
-def test_restrict_without_broadcast(skewed, how):
+def test_restrict_by_filter_broadcast_and_salt(skewed, how):
     keys = skewed.filter("BATCH_ID < 'BATCH_1998'").select("BATCH_ID").distinct()
-    short = restrict(skewed, keys, ["BATCH_ID"], how)
-    long = restrict(skewed, keys, ["BATCH_ID"], how, SkewPolicy(small_rows=0, replicas=5))
-    assert rows(long, *skewed.columns) == rows(short, *skewed.columns)
-    assert 0 < short.count() < skewed.count()
+    keys = keys.union(keys.sparkSession.sql("SELECT CAST(NULL AS STRING)"))
+    source = skewed.withColumn("BATCH_ID", F.when(F.col("SRC_KEY") % 50 != 0, F.col("BATCH_ID")))
+    listed = restrict(source, keys, ["BATCH_ID"], how)
+    sent = restrict(source, keys, ["BATCH_ID"], how, SkewPolicy(listed=0))
+    salted = restrict(source, keys, ["BATCH_ID"], how, SkewPolicy(listed=0, small_rows=0, replicas=5))
+    assert rows(listed, *source.columns) == rows(sent, *source.columns)
+    assert rows(listed, *source.columns) == rows(salted, *source.columns)
+    assert 0 < listed.count() < source.count()
 
 
 def test_duplicate_count_is_the_exact_count(skewed):
