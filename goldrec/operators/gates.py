@@ -60,7 +60,7 @@ def gate_providers(
     mode: str = "skip_batch",
     skew: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
-    """Rows that may be appended to gold.
+    """Rows that may be appended to gold, out of golden records: one row per id.
 
     ``skip_batch`` holds back every batch that has an id gold knows; ``anti`` appends the
     unseen ids of every batch. NULL ids are never known.

@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.operators.gates import gate_export
@@ -61,17 +61,19 @@ def export_batch(
     ).isEmpty():
         return ExportResult(batch_id, "N/A", 0, "SUCCESS", skipped=True)
     rows = gold.filter(F.col("BATCH_ID") == batch_id)
-    count = rows.count()
-    if count == 0:
+    if rows.isEmpty():
         return ExportResult(batch_id, "N/A", 0, "SUCCESS")
     path = f"{directory}/provider_gold_{_run_name()}.parquet"
     if files:
         rows = rows.coalesce(files)
+    written = Observation()
     try:
-        rows.write.mode("error").option("maxRecordsPerFile", rows_per_file).parquet(path)
+        rows.observe(written, F.count(F.lit(1)).alias("n")).write.mode("error").option(
+            "maxRecordsPerFile", rows_per_file
+        ).parquet(path)
     except Exception as e:  # whatever it is, the attempt is logged as failed
-        return ExportResult(batch_id, path, count, "FAILED", str(e))
-    return ExportResult(batch_id, path, count, "SUCCESS")
+        return ExportResult(batch_id, path, rows.count(), "FAILED", str(e))
+    return ExportResult(batch_id, path, written.get["n"], "SUCCESS")
 
 
 def export_pending(
@@ -86,13 +88,9 @@ def export_pending(
     several tasks and files. Each batch lands in its own folder and yields one result.
     """
     pending = gate_export(gold, log)
-    counts = pending.groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("n"))
-    run = f"{directory}/provider_gold_{_run_name()}"
-    # One row per batch of this run.
-    batches = [(r["BATCH_ID"], r["n"]) for r in counts.collect()]
-    if not batches:
+    if pending.isEmpty():
         return []
-    status, error = "SUCCESS", None
+    run = f"{directory}/provider_gold_{_run_name()}"
     try:
         (
             pending.withColumn("batch", F.col("BATCH_ID"))
@@ -102,6 +100,14 @@ def export_pending(
             .partitionBy("batch")
             .parquet(run)
         )
-    except Exception as e:  # whatever it is, the attempt is logged as failed
+        status, error = "SUCCESS", None
+        exported = gold.sparkSession.read.schema("BATCH_ID STRING, batch STRING").parquet(run)
+    except Exception as e:  # whatever it is, the attempts are logged as failed
         status, error = "FAILED", str(e)
-    return [ExportResult(b, f"{run}/batch={b}", n, status, error) for b, n in sorted(batches)]
+        exported = pending.withColumn("batch", F.col("BATCH_ID"))
+    # One row per batch of this run, counted in what was written.
+    counts = exported.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).orderBy("batch")
+    return [
+        ExportResult(r["batch"], f"{run}/batch={r['batch']}", r["n"], status, error)
+        for r in counts.collect()
+    ]

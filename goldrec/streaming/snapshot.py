@@ -18,11 +18,13 @@ MANIFEST = T.StructType([
     T.StructField("COMMIT_ID", T.StringType()),
     T.StructField("BUCKET", T.IntegerType()),
     T.StructField("DATA_PATH", T.StringType()),
+    T.StructField("APPENDED", T.BooleanType()),
     T.StructField("SOURCE_ROWS", T.LongType()),
     T.StructField("COMMITTED_AT", T.TimestampType()),
 ])
 
-NO_KEY = -1  # bucket of rows whose key is NULL: appended to, never rewritten
+NO_KEY = -1  # bucket of rows whose key is NULL: nothing matches them, so it is appended to
+LOOSE_FOLDERS = 50  # appended folders after which a commit writes that bucket anew
 
 
 def newest_per_key(df: DataFrame, key: str, newest: str = "LOAD_TIMESTAMP") -> DataFrame:
@@ -76,21 +78,20 @@ class SnapshotTable:
         return F.when(F.col(self.key).isNull(), NO_KEY).otherwise(hashed)
 
     def _paths(self, version: int | None = None) -> dict[int, list[str]]:
-        """Current folders per bucket: metadata of at most one commit per bucket."""
+        """Folders per bucket: the last one written whole and those appended since.
+
+        This is metadata, at most one folder per bucket and LOOSE_FOLDERS of no key.
+        """
         rows = self.manifest()
         if version is not None:
             rows = rows.filter(F.col("VERSION") <= version)
-        keyed = (
-            rows.filter(F.col("BUCKET") != NO_KEY)
-            .groupBy("BUCKET")
-            .agg(F.array(F.max_by("DATA_PATH", "VERSION")).alias("paths"))
-        )
-        loose = (
-            rows.filter(F.col("BUCKET") == NO_KEY)
-            .groupBy("BUCKET")
-            .agg(F.collect_list("DATA_PATH").alias("paths"))
-        )
-        return {r["BUCKET"]: r["paths"] for r in keyed.unionByName(loose).collect()}
+        whole = F.max(F.when(~F.col("APPENDED"), F.col("VERSION")))
+        since = F.coalesce(whole.over(Window.partitionBy("BUCKET")), F.lit(0))
+        current = rows.withColumn("_since", since).filter(F.col("VERSION") >= F.col("_since"))
+        paths: dict[int, list[str]] = {}
+        for r in current.select("BUCKET", "DATA_PATH").collect():
+            paths.setdefault(r["BUCKET"], []).append(r["DATA_PATH"])
+        return paths
 
     def _read(self, paths: list[str]) -> DataFrame:
         if not paths:
@@ -131,7 +132,10 @@ class SnapshotTable:
             if not counts:
                 return 0
             present = self._paths()
-            touched = [p for b in counts if b != NO_KEY for p in present.get(b, [])]
+            append = len(present.get(NO_KEY, [])) < LOOSE_FOLDERS
+            touched = [
+                p for b in counts if b != NO_KEY or not append for p in present.get(b, [])
+            ]
             written = fresh
             if touched:
                 kept = self._read(touched)
@@ -144,7 +148,8 @@ class SnapshotTable:
             written.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(data)
             now = datetime.now(timezone.utc)
             entries = [
-                (version, commit_id, b, f"{data}/bucket={b}", n, now) for b, n in sorted(counts.items())
+                (version, commit_id, b, f"{data}/bucket={b}", append and b == NO_KEY, n, now)
+                for b, n in sorted(counts.items())
             ]
             log = self.spark.createDataFrame(entries, MANIFEST)
             log.coalesce(1).write.mode("append").parquet(self._manifest_path)

@@ -151,6 +151,16 @@ def test_merge_cases(spark, tmp_path):
     assert rows(table.read(version=1), "ProviderID", "City") == [("1", "old"), ("2", "keep"), (None, "none")]
 
 
+def test_rows_without_key_are_gathered_now_and_then(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("goldrec.streaming.snapshot.LOOSE_FOLDERS", 2)
+    table = SnapshotTable(spark, str(tmp_path / "t"), buckets=2)
+    for day in range(1, 6):
+        table.merge(gold_rows(spark, (None, "A", day, f"c{day}"), ("1", "A", day, "one")), f"commit {day}")
+        assert table.read().count() == day + 1
+    assert len(table._paths()[-1]) <= 2
+    assert rows(table.read(version=3), "City") == [("c1",), ("c2",), ("c3",), ("one",)]
+
+
 def test_untouched_buckets_are_not_rewritten(spark, gold, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"), buckets=16)
     table.load(gold)
