@@ -124,9 +124,13 @@ def explode_fields(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("field", F.explode("provider.fields"))
 
 
+def no_fields() -> Column:
+    return F.coalesce(F.size("provider.fields"), F.lit(0)) <= 0
+
+
 def fieldless(parsed: DataFrame) -> DataFrame:
     """The payloads ``explode_fields`` leaves out, kept for a reject table."""
-    return parsed.filter(F.coalesce(F.size("provider.fields"), F.lit(0)) <= 0)
+    return parsed.filter(no_fields())
 
 
 def flatten_fields(exploded: DataFrame) -> DataFrame:

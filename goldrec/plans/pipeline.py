@@ -5,16 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldrec.operators.gates import gate_providers, new_batches, unbatched
-from goldrec.operators.payload import silver
+from goldrec.operators.payload import (
+    clean_strings, extract_fields, fieldless, no_fields, parse_payload,
+)
 from goldrec.operators.skew import DEFAULT_SKEW, SkewPolicy
 from goldrec.operators.survive import Survivorship, golden_record
 from goldrec.plans.marts import build_models
-from goldrec.schemas import EXPORT_LOG, GOLD, SILVER
+from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, SILVER
 from goldrec.sources.export import ExportResult, export_pending, log_export
 from goldrec.streaming.cdc import run_upsert
 from goldrec.streaming.ingest import ingest_files, load_by_name, read_bronze
@@ -53,11 +55,24 @@ def append_layer(df: DataFrame, path: str) -> None:
 
 
 def refine_silver(spark: SparkSession, layout: Layout) -> None:
-    """Standardise the bronze batches that silver lacks; set rows without batch aside."""
+    """Standardise the bronze batches that silver lacks.
+
+    Rows without a batch and payloads without fields cannot go on; both are kept apart.
+    The latter are counted on the way, so they cost a second pass only if there are any.
+    """
     bronze = read_bronze(spark, layout.at("bronze"))
-    done = read_layer(spark, layout.at("silver"), SILVER)
     unbatched(bronze).write.mode("overwrite").parquet(layout.at("unbatched"))
-    append_layer(silver(new_batches(bronze, done, layout.skew)), layout.at("silver"))
+    done = read_layer(spark, layout.at("silver"), SILVER)
+    fresh = new_batches(bronze, done, layout.skew)
+    if fresh.isEmpty():
+        return
+    dropped = Observation()
+    parsed = parse_payload(fresh).observe(dropped, F.count_if(no_fields()).alias("n"))
+    append_layer(clean_strings(extract_fields(parsed)), layout.at("silver"))
+    if dropped.get["n"]:
+        rejects = fieldless(parse_payload(fresh)).select(*BRONZE.names)
+        known = read_layer(spark, layout.at("rejects"), BRONZE)
+        append_layer(new_batches(rejects, known, layout.skew), layout.at("rejects"))
 
 
 def refine_gold(spark: SparkSession, layout: Layout) -> None:

@@ -9,7 +9,7 @@ from goldrec.operators import gates
 from goldrec.operators.survive import Survivorship, golden_record
 from goldrec.plans import marts, pipeline, reports
 from goldrec.plans.provider_view import provider_src
-from goldrec.schemas import EXPORT_LOG, GOLD, GOLD_COLUMNS
+from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, GOLD_COLUMNS
 from goldrec.sources import export, files, history, tables
 from goldrec.streaming import cdc, ingest
 from goldrec.streaming.snapshot import SnapshotTable, newest_per_key
@@ -210,6 +210,19 @@ def test_upsert_stream(spark, gold, tmp_path):
     assert cdc.has_data(gold, None).first().HAS_DATA is True
 
 
+def test_upsert_at_an_interval_until_stopped(spark, gold, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), buckets=4)
+    args = (spark, str(tmp_path / "landing"), table, str(tmp_path / "c2"), str(tmp_path / "runs"))
+    gold.write.parquet(str(tmp_path / "staged"))
+    ingest.load_by_name(spark, str(tmp_path / "staged"), str(tmp_path / "landing"), str(tmp_path / "c1"), GOLD)
+    query = cdc.run_upsert(*args, every="1 second")
+    query.processAllAvailable()
+    query.stop()  # suspended; the next run resumes from the checkpoint
+    cdc.run_upsert(*args)
+    assert rows(table.read()) == rows(gold)
+    assert cdc.run_history(spark, str(tmp_path / "runs")).count() == 1
+
+
 # Whole job
 
 
@@ -218,7 +231,11 @@ def test_pipeline_twice(spark, sf, tmp_path):
     processed = str(tmp_path / "processed")
     early = bronze_rows(spark, sf).filter("BATCH_ID <= 'BATCH_1997'")
     files.write_envelopes(early, f"{processed}/first")
+    broken = early.limit(2).withColumn("PROVIDER_JSON", F.lit("{bad"))
+    broken = broken.withColumn("BATCH_ID", F.when(F.monotonically_increasing_id() == 0, F.col("BATCH_ID")))
+    files.write_envelopes(broken, f"{processed}/broken")
     models = pipeline.run_all(spark, layout, processed)
+    assert rows(pipeline.read_layer(spark, layout.at("rejects"), BRONZE), "PROVIDER_JSON") == [("{bad",)]
     silver = pipeline.read_layer(spark, layout.at("silver"), pipeline.SILVER)
     held = pipeline.read_layer(spark, layout.at("gold"), GOLD)
     assert silver.count() == early.count()
@@ -227,6 +244,7 @@ def test_pipeline_twice(spark, sf, tmp_path):
     counts = [df.count() for df in models.values()]
 
     models = pipeline.run_all(spark, layout, processed)  # nothing new
+    assert pipeline.read_layer(spark, layout.at("unbatched"), BRONZE).count() == 1
     assert [df.count() for df in models.values()] == counts
     log = pipeline.read_layer(spark, layout.at("export_log"), EXPORT_LOG)
     assert rows(log, "BATCH_ID") == rows(gates.batch_list(held))
