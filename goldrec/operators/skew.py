@@ -27,6 +27,7 @@ class SkewPolicy:
 
 
 DEFAULT_SKEW = SkewPolicy()
+MAX_CUTS = 6  # times a crowded slice is divided again when ranking a hot group
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -120,37 +121,50 @@ def with_group_rank(
     return rest.withColumn(out, place).unionByName(ranked)
 
 
+def _cut_ranges(
+    rows: DataFrame, keys: Sequence[str], column: str, out: str, skew: SkewPolicy
+) -> tuple[DataFrame, bool]:
+    """Number equal-width ranges of ``column`` within each hot group that it can divide.
+
+    A few outliers can leave one range crowded, so the caller cuts again until no group is
+    hot: a crowded range is then divided by its own width.
+    """
+    low, high = F.min(column).cast("double"), F.max(column).cast("double")
+    dense = hot_groups(rows, keys, skew, low.alias("_lo"), high.alias("_hi"))
+    if dense is not None:
+        dense = dense.filter("_hi > _lo")
+    if dense is None or dense.isEmpty():
+        return rows, False
+    names = [f"_dense_{i}" for i in range(len(keys))]
+    right = dense.withColumnsRenamed(dict(zip(keys, names)))
+    on = same([F.col(k) for k in keys], [F.col(n) for n in names])
+    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / skew.hot_rows)
+    number = F.floor((F.col(column).cast("double") - F.col("_lo")) / width)
+    marked = rows.join(F.broadcast(right), on, "left")
+    return marked.select(*rows.columns, F.coalesce(number, F.lit(0).cast("long")).alias(out)), True
+
+
 def _rank_hot(
     df: DataFrame, key: str, order: Sequence[str], out: str, skew: SkewPolicy, unique: bool
 ) -> DataFrame:
     """Rank rows of hot groups without bringing a whole group, or all its copies, together.
 
-    Copies of a row are first counted into one. A group is then cut into ordered slices: one
-    per value of the leading order columns, and where such a value is itself hot, into
-    equal-width ranges of the tie-break. A row's place is its place in its slice plus the
-    size of the slices ahead of it. Copies are written out again in blocks.
+    Copies of a row are first counted into one. A group is then cut into ordered slices:
+    one per value of the leading order columns and, while such a slice is itself hot, into
+    ranges of the tie-break. A row's place is its place in its slice plus the size of the
+    slices ahead of it. Copies are written out again in blocks.
     """
     columns = df.columns
     *lead, last = order
     rows = df.withColumn("_copies", F.lit(1).cast("long")) if unique else (
         df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     )
-    step = F.lit(0).cast("long")
-    dense = hot_groups(
-        rows,
-        [key, *lead],
-        skew,
-        F.min(last).cast("double").alias("_lo"),
-        F.max(last).cast("double").alias("_hi"),
-    )
-    if dense is not None:
-        inside, outside = split_hot(rows, [key, *lead], dense)
-        width = F.greatest((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / skew.hot_rows), F.lit(1.0))
-        range_no = F.floor((F.col(last).cast("double") - F.col("_lo")) / width)
-        inside = inside.withColumn("_step", range_no).drop("_n", "_lo", "_hi")
-        rows = inside.unionByName(outside.withColumn("_step", step))
-    else:
-        rows = rows.withColumn("_step", step)
+    levels = list(lead)
+    for cut in range(MAX_CUTS):
+        rows, more = _cut_ranges(rows, [key, *levels], last, f"_cut{cut}", skew)
+        if not more:
+            break
+        levels.append(f"_cut{cut}")
 
     # Plain key columns instead of a NULL-safe comparison: the window over slices and the
     # join on their starts then share one shuffle.
@@ -158,7 +172,7 @@ def _rank_hot(
     rows = rows.withColumns({
         "_null": F.col(key).isNull(),
         "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
-        "_slice": F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(lead)], "_step"),
+        "_slice": F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(levels)]),
     })
     fields = [f"_slice.{f}" for f in rows.schema["_slice"].dataType.names]
     before = (Window.unboundedPreceding, -1)
@@ -211,8 +225,7 @@ def restrict(
             return df.filter(listed if how == "left_semi" else ~F.coalesce(listed, F.lit(False)))
     if keys.limit(skew.small_rows + 1).count() <= skew.small_rows:
         return df.join(F.broadcast(keys), on, how)
-    copies = keys.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(skew.replicas - 1))).cast("long")
-    )
+    salts = F.sequence(F.lit(0).cast("long"), F.lit(skew.replicas - 1).cast("long"))
+    copies = keys.withColumn("_salt", F.explode(salts))
     salted = df.withColumn("_salt", F.pmod(row_hash(df), F.lit(skew.replicas)).cast("long"))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

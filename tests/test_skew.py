@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from goldrec.operators.matching import duplicate_flag, exact_match, fuzzy_match
-from goldrec.operators.skew import SkewPolicy, hot_groups, restrict
+from goldrec.operators.skew import SkewPolicy, _cut_ranges, hot_groups, restrict
 from goldrec.operators.survive import Survivorship, survivor_rank
 from goldrec.plans.provider_view import provider_src
 from tests.conftest import rows
@@ -67,6 +67,22 @@ def test_ranks_of_copies(skewed, skew):
     assert per_id.filter("n <> d OR n <> m").count() == 0
 
 
+def test_ranks_with_a_lopsided_tie_break(spark):
+    """One outlier far off leaves nearly all rows in one range; it is divided again."""
+    ids = [*range(1000), 2**62]
+    df = spark.createDataFrame([("x", "A", "2020-01-01", i) for i in ids], "ProviderID string, Status string, LastUpdated string, SRC_KEY long")
+    skew = SkewPolicy(hot_rows=20)
+    ranked = survivor_rank(df, Survivorship(tie="SRC_KEY"), skew)
+    assert [r.SRC_KEY for r in ranked.orderBy("SURVIVOR_RANK").collect()] == sorted(ids, reverse=True)
+    assert ranked.agg(F.max("SURVIVOR_RANK")).first()[0] == len(ids)
+    groups, keys = df, ["ProviderID"]
+    for cut in range(2):
+        groups, more = _cut_ranges(groups, keys, "SRC_KEY", f"_cut{cut}", skew)
+        assert more
+        keys.append(f"_cut{cut}")
+    assert groups.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 20
+
+
 def test_hot_list_is_bounded(skewed):
     assert hot_groups(skewed, ["ProviderID"], SkewPolicy(hot_rows=1, max_hot=3)).count() == 3
     assert hot_groups(skewed, ["ProviderID"], SkewPolicy(hot_rows=10**9)) is None
