@@ -119,15 +119,20 @@ def parse_payload(bronze: DataFrame) -> DataFrame:
     })
 
 
-def explode_fields(parsed: DataFrame) -> DataFrame:
-    """One row per payload field; a payload without fields gives no row."""
-    return parsed.withColumn("field", F.explode("provider.fields"))
-
-
 def no_fields() -> Column:
     return F.coalesce(F.size("provider.fields"), F.lit(0)) <= 0
 
 
+def explode_fields(parsed: DataFrame) -> DataFrame:
+    """One row per payload field; a payload without fields gives no row.
+
+    The condition inside the explode changes no row. It stands in for the filter Spark
+    would infer, which would be pushed below the parse and parse every text twice.
+    """
+    fields = F.when(~no_fields(), F.col("provider.fields"))
+    return parsed.withColumn("field", F.explode(fields))
+
+
 def fieldless(parsed: DataFrame) -> DataFrame:
     """The payloads ``explode_fields`` leaves out, kept for a reject table."""
     return parsed.filter(no_fields())
@@ -167,11 +172,9 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
     """
     fields = F.col("provider.fields")
     # Exploding none or one element drops payloads without fields, as a filter would, but
-    # a filter would be pushed below the parse and so parse every text twice.
+    # a filter would be pushed below the parse, see above.
     kept = parsed.select(
-        *AUDIT,
-        "PAYLOAD_ID",
-        F.explode(F.when(F.size(fields) > 0, F.array(fields))).alias("_f"),
+        *AUDIT, "PAYLOAD_ID", F.explode(F.when(~no_fields(), F.array(fields))).alias("_f")
     )
 
     def first_value(name: str) -> Column:

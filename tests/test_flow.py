@@ -112,8 +112,12 @@ def test_ensure_table_keeps_rows(spark, gold, tmp_path):
 
 
 def test_conform(spark):
-    df = spark.createDataFrame([("1", "2026-01-01", 5), ("2", "bad", 6), (None, None, 7)], "PROVIDERID string, load_date string, X int")
+    df = spark.createDataFrame(
+        [("1", "2026-01-01", 5), ("2", "bad", 6), (None, None, 7)],
+        "PROVIDERID string, load_date string, X int",
+    ).withColumn("Load_Timestamp", F.lit(datetime(2026, 1, 2, 3, 4, 5)).cast("timestamp"))
     got = tables.conform(df, GOLD)
+    assert {r.LOAD_TIMESTAMP for r in got.collect()} == {datetime(2026, 1, 2, 3, 4, 5)}
     good = got.filter(F.size("FAILED_COLUMNS") == 0)
     assert rows(good, "ProviderID", "LOAD_DATE", "City") == [("1", date(2026, 1, 1), None), (None, None, None)]
     [bad] = got.filter(F.size("FAILED_COLUMNS") > 0).collect()
@@ -141,7 +145,9 @@ def test_merge_cases(spark, tmp_path):
     assert table.read().count() == 0
     start = gold_rows(spark, ("1", "A", 1, "old"), ("2", "A", 1, "keep"), (None, "A", 1, "none"))
     assert table.load(start) == 3
-    change = gold_rows(spark, ("1", "B", 2, "older"), ("1", "B", 3, "new"), ("3", "B", 2, "add"), (None, "B", 2, "more"))
+    change = gold_rows(
+        spark, ("1", "B", 2, "older"), ("1", "B", 3, "new"), ("3", "B", 2, "add"), (None, "B", 2, "more")
+    )
     assert table.merge(change, "c1") == 3
     want = [("1", "new"), ("2", "keep"), ("3", "add"), (None, "more"), (None, "none")]
     assert rows(table.read(), "ProviderID", "City") == want

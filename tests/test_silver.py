@@ -163,10 +163,15 @@ def test_pivot_twins(spark, sf):
 def test_text_is_parsed_once_and_not_shuffled(spark, sf, tmp_path):
     bronze_rows(spark, sf).write.parquet(str(tmp_path / "b"))
     stored = spark.read.parquet(str(tmp_path / "b"))
-    plan = p.extract_fields(p.parse_payload(stored))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
-    exchange = [line for line in plan.splitlines() if "Exchange" in line]
-    assert len(exchange) == 1 and "PROVIDER_JSON" not in exchange[0]
+    parsed = p.parse_payload(stored)
+    pivoted = p.pivot_fields(p.flatten_fields(p.explode_fields(parsed)))
+    for df in (p.extract_fields(parsed), pivoted):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") == 1
+        exchange = [line for line in plan.splitlines() if "Exchange" in line]
+        assert len(exchange) == 1 and "PROVIDER_JSON" not in exchange[0]
+        generate = [line for line in plan.splitlines() if "Generate" in line]
+        assert len(generate) == 1 and "PROVIDER_JSON" not in generate[0]
 
 
 def test_null_report_of_empty_frame(spark, sf):
