@@ -170,19 +170,26 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
     The only shuffle removes byte-identical payloads of one load; it carries a digest of
     the text instead of the text, and combines copies before shuffling.
     """
-    fields = F.col("provider.fields")
-    # Exploding none or one element drops payloads without fields, as a filter would, but
-    # a filter would be pushed below the parse, see above.
+    names, values = F.col("provider.fields.name"), F.col("provider.fields.values")
+    # Map keys must be unique and present: a repeated name keeps its first entry. Only
+    # payloads with such names take the second branch.
+    distinct = F.array_compact(F.array_distinct(names))
+    firsts = F.transform(
+        distinct, lambda name: F.get(values, (F.array_position(names, name) - 1).cast("int"))
+    )
+    by_name = F.when(
+        F.size(distinct) == F.size(names), F.map_from_arrays(names, values)
+    ).otherwise(F.map_from_arrays(distinct, firsts))
+    # Exploding none or one map drops payloads without fields, as a filter would, but a
+    # filter would be pushed below the parse, see above. It also fixes the map as a column,
+    # so that it is built once per row and not once per attribute.
     kept = parsed.select(
-        *AUDIT, "PAYLOAD_ID", F.explode(F.when(~no_fields(), F.array(fields))).alias("_f")
+        *AUDIT, "PAYLOAD_ID", F.explode(F.when(~no_fields(), F.array(by_name))).alias("_by_name")
     )
-
-    def first_value(name: str) -> Column:
-        at = (F.array_position("_f.name", name) - 1).cast("int")
-        return F.get(F.get("_f.values", at), F.lit(0)).alias(name)
-
-    rows = kept.select(*[first_value(a) for a in ATTRIBUTES], *AUDIT, "PAYLOAD_ID")
-    return rows.distinct().drop("PAYLOAD_ID")
+    found = [
+        F.get(F.try_element_at("_by_name", F.lit(a)), F.lit(0)).alias(a) for a in ATTRIBUTES
+    ]
+    return kept.select(*found, *AUDIT, "PAYLOAD_ID").distinct().drop("PAYLOAD_ID")
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
