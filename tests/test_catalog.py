@@ -7,8 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracles import ORACLES
+from catalog.queries import QUERIES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = {"sample_rows": 10, "audit_columns": 50}
 
 
@@ -47,5 +48,9 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(QUERIES) == set(ORACLES) | set(ROWS_ONLY)
 
 
+def test_entry_registers_the_catalog():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
