@@ -91,7 +91,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_
     left = dealt(vectors, v_blocks, q_blocks, "vb", "qb").groupBy(*keys)
     right = dealt(queries, q_blocks, v_blocks, "qb", "vb").groupBy(*keys)
 
-    def run(key, a: pa.Table, b: pa.Table) -> pa.Table:
+    def run(a, b):
         found = []
         if a.num_rows and b.num_rows:
             (ids, rows), (query_ids, query_rows) = (
