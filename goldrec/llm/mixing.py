@@ -128,17 +128,41 @@ def mixture(rows: DataFrame, slots: int = SLOTS, share: float = SHARE, most: int
                       F.when(F.col("slot").isNull(), 0).otherwise(F.col("words")).cast("long").alias("taken"))
 
 
-def mix_report(documents: DataFrame, label: str = "mix") -> DataFrame:
+def takes(documents: DataFrame, label: str = "mix") -> DataFrame:
+    """doc_id, source, size, digest, source_size, target, nth, pass, taken: one row per row and pass.
+
+    A row's pieces meet again by id, source and text. Rows that repeat in full are told apart by
+    ``nth``, from 0, and share what they take, whole documents first.
+    """
+    rows = written(prepared(documents), label)  # read several times below, the texts once
+    copies = rows.groupBy(*ROW).agg(F.count("*").alias("copies")).toDF(*(f"r_{c}" for c in ROW), "copies")
+    per = mixture(rows).groupBy(*ROW, "source_size", "target", "pass").agg(F.sum("taken").alias("all"))
+    per = per.join(copies, reduce(and_, (F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in ROW)))
+    per = per.select(*ROW, "source_size", "target", "pass", "all", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth"))
+    own = F.greatest(F.lit(0), F.least("size", F.col("all") - F.col("nth") * F.col("size")))
+    return per.withColumn("taken", own.cast("long")).drop("all")
+
+
+def mix_report(documents: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per row of the input."""
-    rows = written(prepared(documents), label)  # read twice below, the texts once
-    both = mixture(rows)
-    # a row's passes meet again by id and text; rows that repeat in full share what they take
-    per = both.groupBy(*ROW, "source_size", "target").agg(
-        F.sum("taken").alias("taken"))
-    per = per.join(rows.groupBy(*ROW).agg(F.count("*").alias("copies")).toDF(*(f"r_{c}" for c in ROW), "copies"),
-                   reduce(and_, (F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in ROW)))
-    each = F.floor(F.col("taken") / F.col("copies")).cast("long")
-    more = F.col("taken") % F.col("copies")
-    return per.select("doc_id", "size", "source_size", "target", F.posexplode(F.sequence(F.lit(1).cast("long"), "copies")).alias("nth", "copy"),
-                      each.alias("each"), more.alias("more")).select(
-        "doc_id", "size", "source_size", "target", (F.col("each") + (F.col("nth") < F.col("more")).cast("long")).alias("taken"))
+    return (takes(documents).groupBy(*ROW, "source_size", "target", "nth").agg(F.sum("taken").alias("taken"))
+            .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+def mixed_documents(documents: DataFrame) -> DataFrame:
+    """The mix as documents: a row for each pass that takes words of a row, with the words it takes.
+
+    The columns are those of the input, n_chars is counted anew. A document taken whole keeps its
+    text; the last one of its source may give a leading part, its words one blank apart.
+    """
+    part = takes(documents).where("taken > 0").select(*(F.col(c).alias(f"t_{c}") for c in ROW), F.col("nth").alias("t_nth"), "taken")
+    keys = ["doc_id", "source", "digest", "size"]
+    rows = documents.withColumn("digest", F.xxhash64("text")).withColumn("size", word_count(F.col("text")))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))) - 1)
+    met = rows.join(part, reduce(and_, (F.col(c).eqNullSafe(F.col(f"t_{c}")) for c in [*keys, "nth"])))
+    text = F.when(F.col("taken") == F.col("size"), F.col("text")).otherwise(
+        F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("taken").cast("int")), " "))
+    met = met.withColumn("text", text)
+    if "n_chars" in documents.columns:
+        met = met.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return met.select(*documents.columns)

@@ -6,7 +6,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldrec.llm import bpe, jaccard, language, licences, mixing, omh, sharding, suffix, topk
+from goldrec.llm import bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk
 from goldrec.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +20,10 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,6 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_top_k, op4_jaccard_join, op5_suffix_dedup, op6_bpe, op7_sharding, op8_mixing, op9_licences, op10_order_minhash)}
+    op1_language_id, op2_top_k, op3_quality, op4_jaccard_join, op5_suffix_dedup, op6_bpe, op7_sharding, op8_mixing, op9_licences, op10_order_minhash)}
 
 ORACLES: dict[str, str] = {}

@@ -349,6 +349,24 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, most: int = PIEC
     return joined.mapInArrow(run, schema).select("row.*", "n_bytes", "n_removed", "n_spans", "kept")
 
 
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """The rows with the text that stays, and n_chars counted anew. Bytes of cut code points go too."""
+    names = documents.columns
+    rows = without_repeats(documents)
+    schema = rows.withColumn("text", F.lit("")).select(*names).schema
+    counted = "n_chars" in names
+
+    def run(batches):
+        for batch in batches:
+            texts = [kept.decode("utf-8", "ignore") for kept in batch.column("kept").to_pylist()]
+            new = {"text": pa.array(texts, pa.string())}
+            if counted:
+                new["n_chars"] = pa.array([len(t) for t in texts], batch.column("n_chars").type)
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names=names)
+
+    return rows.select(*names, "kept").mapInArrow(run, schema)
+
+
 def repeat_report(documents: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     return without_repeats(documents.select("doc_id", "text")).select(
