@@ -7,6 +7,8 @@ import pyarrow as pa
 
 U = np.uint64
 _ODD = U(0x9E3779B97F4A7C15)
+#: Bytes looked at together; about fifty bytes of memory are needed for each.
+STEP = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,24 +40,42 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def _cuts(data: np.ndarray) -> list[int]:
+    """Where to cut the bytes into parts of about STEP: before a blank, so that no word is cut."""
+    cuts, at = [0], STEP
+    while at < len(data):
+        blank = np.flatnonzero(BLANK[data[at:at + STEP]])
+        if len(blank):
+            cuts.append(at + int(blank[0]))
+            at = cuts[-1] + STEP
+        else:
+            at += STEP
+    return [*cuts, len(data)]
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A hash of each word with A-Z lower-cased, and where each text's words begin in that list."""
-    word = ~BLANK[data]
-    begins = word.copy()
-    begins[1:] &= ~word[:-1]
-    inner = offsets[:-1][offsets[:-1] < len(data)]
-    begins[inner] = word[inner]  # words don't go on from one text to the next
-    starts = np.flatnonzero(begins)
-    if not len(starts):
-        return np.zeros(0, U), np.zeros(len(offsets), np.int64)
-    lengths = np.diff(np.append(starts, len(data)))  # with the blanks behind
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
-    body = data[starts[0]:]
-    powers = np.full(int(place.max()) + 1, _ODD)
-    powers[0] = U(1)
-    powers = np.cumprod(powers, dtype=U)
-    value = np.where(word[starts[0]:], FOLDED[body] * powers[place], U(0))
-    return mix(np.add.reduceat(value, starts - starts[0])), np.searchsorted(starts, offsets)
+    all_starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U)]
+    cuts = _cuts(data)
+    for at, end in zip(cuts[:-1], cuts[1:]):
+        part = data[at:end]
+        word = ~BLANK[part]
+        begins = word.copy()
+        begins[1:] &= ~word[:-1]
+        inner = offsets[np.searchsorted(offsets, at):np.searchsorted(offsets, end)] - at
+        begins[inner] = word[inner]  # words don't go on from one text to the next
+        starts = np.flatnonzero(begins)
+        if not len(starts):
+            continue
+        lengths = np.diff(np.append(starts, len(part)))  # with the blanks behind
+        place = np.arange(starts[0], len(part)) - np.repeat(starts, lengths)
+        powers = np.full(int(place.max()) + 1, _ODD)
+        powers[0] = U(1)
+        powers = np.cumprod(powers, dtype=U)
+        value = np.where(word[starts[0]:], FOLDED[part[starts[0]:]] * powers[place], U(0))
+        hashes.append(mix(np.add.reduceat(value, starts - starts[0])))
+        all_starts.append(starts + at)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(all_starts), offsets)
 
 
 def shingle_sets(texts: pa.Array, size: int = 5) -> list[np.ndarray]:
