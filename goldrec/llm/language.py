@@ -34,7 +34,7 @@ def words_of(text: str) -> Counter:
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    padded = f" {word} "
+    padded = f" {word} " if n > 1 else word
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
