@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrec.operators.skew import DEFAULT_SKEW, SkewPolicy, restrict
+from goldrec.operators.skew import restrict
 
 
 def batch_list(df: DataFrame) -> DataFrame:
@@ -17,9 +17,7 @@ def unbatched(df: DataFrame) -> DataFrame:
     return df.filter(F.col("BATCH_ID").isNull())
 
 
-def new_batches(
-    src: DataFrame, done: DataFrame | None, skew: SkewPolicy = DEFAULT_SKEW
-) -> DataFrame:
+def new_batches(src: DataFrame, done: DataFrame | None) -> DataFrame:
     """Rows of batches that the target does not hold yet; no target means all batches.
 
     The new batches are found from the batch columns alone and then selected by name, so
@@ -29,7 +27,7 @@ def new_batches(
     if done is None:
         return batched
     wanted = batch_list(batched).join(batch_list(done), "BATCH_ID", "left_anti")
-    return restrict(batched, wanted, ["BATCH_ID"], "left_semi", skew)
+    return restrict(batched, wanted, ["BATCH_ID"], "left_semi")
 
 
 def batch_presence(spark: SparkSession, table: str, batch_id: str) -> int:
@@ -58,7 +56,6 @@ def gate_providers(
     candidate: DataFrame,
     gold: DataFrame | None,
     mode: str = "skip_batch",
-    skew: SkewPolicy = DEFAULT_SKEW,
 ) -> DataFrame:
     """Rows that may be appended to gold, out of golden records: one row per id.
 
@@ -76,14 +73,12 @@ def gate_providers(
     if mode != "skip_batch":
         raise ValueError(f"unknown gate mode: {mode}")
     blocked = known_providers(candidate, gold).filter("BLOCKED").select("BATCH_ID")
-    return restrict(candidate, blocked, ["BATCH_ID"], "left_anti", skew)
+    return restrict(candidate, blocked, ["BATCH_ID"], "left_anti")
 
 
-def gate_export(
-    gold: DataFrame, log: DataFrame | None, skew: SkewPolicy = DEFAULT_SKEW
-) -> DataFrame:
+def gate_export(gold: DataFrame, log: DataFrame | None) -> DataFrame:
     """Rows of batches without a successful export."""
-    return new_batches(gold, None if log is None else log.filter("STATUS = 'SUCCESS'"), skew)
+    return new_batches(gold, None if log is None else log.filter("STATUS = 'SUCCESS'"))
 
 
 class BatchMismatch(ValueError):

@@ -1,33 +1,20 @@
 """Exact per-group work that survives a group holding a large share of all rows.
 
-A group is *hot* above ``SkewPolicy.hot_rows``. Before a plan is built, one job counts the
-groups with map-side combine and fetches the hot ones, at most ``max_hot``, so both the
-fetched and the broadcast list have a fixed bound. Data without hot groups gets the plain
-plan. A group left out because the list is full ranks below ``max_hot`` others and so holds
-less than ``1 / max_hot`` of the rows: the ordinary shuffle handles it. Nothing is dropped
-on either path.
+There is one plan for every size, and no job runs while it is built. Counts are combined before
+their shuffle and joined back; adaptive execution splits the partition of a large group. Ranks are
+taken within slices of a group, cut at values of the sort columns themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class SkewPolicy:
-    hot_rows: int = 1_000_000  # groups above this many rows are split
-    max_hot: int = 10_000  # most groups that are ever broadcast
-    listed: int = 1_000  # key lists up to this length become a filter
-    small_rows: int = 200_000  # key lists up to this length may be broadcast
-    replicas: int = 64  # copies of a key list too long to broadcast
-
-
-DEFAULT_SKEW = SkewPolicy()
-MAX_CUTS = 6  # times a crowded slice is divided again when ranking a hot group
+SLICE_ROWS = 1_000_000  # distinct rows of a group for each cut, and copies written out by one task
+MOST_CUTS = 4_096  # cuts of one group; beyond, the slices grow with it
+SALTS = 1_024  # spreads rows that belong to no group
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -35,67 +22,39 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def same(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    cond = F.lit(True)
-    for a, b in zip(left, right):
-        cond = cond & a.eqNullSafe(b)
-    return cond
-
-
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], skew: SkewPolicy, *extra: Column
-) -> DataFrame | None:
-    """The hot groups of ``keys`` with their size ``_n``; None if there are none."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *extra)
-    top = (
-        sizes.filter(F.col("_n") > skew.hot_rows)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(skew.max_hot)
-    )
-    found = top.collect()
-    return df.sparkSession.createDataFrame(found, top.schema) if found else None
-
-
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of hot groups (with the list's other columns) and all remaining rows."""
-    right = hot.withColumnsRenamed({k: f"_hot_{i}" for i, k in enumerate(keys)})
-    names = [f"_hot_{i}" for i in range(len(keys))]
-    on = same([F.col(k) for k in keys], [F.col(n) for n in names])
-    return (
-        df.join(F.broadcast(right), on).drop(*names),
-        df.join(F.broadcast(right), on, "left_anti"),
-    )
-
-
-def with_group_size(
-    df: DataFrame,
-    keys: Sequence[str],
-    out: str,
-    skew: SkewPolicy = DEFAULT_SKEW,
-    alone: Column | None = None,
-) -> DataFrame:
+def with_group_size(df: DataFrame, keys: Sequence[str], out: str, alone: Column | None = None) -> DataFrame:
     """Attach the number of rows in each row's group (NULLs group together).
 
-    One shuffle of the rows. Hot groups are not shuffled at all: their size comes from the
-    pre-aggregated list. Rows where ``alone`` holds belong to no group and count 1.
+    Rows where ``alone`` holds belong to no group and count 1; they are spread over all tasks.
     """
-    single = F.lit(1).cast("long")
-
-    def sized(rows: DataFrame, size: Column) -> DataFrame:
-        if alone is not None:
-            size = F.when(alone, single).otherwise(size)
-        return rows.withColumn(out, size).select(*df.columns, out)
-
-    spread = [] if alone is None else [F.when(alone, row_hash(df))]
-    window = Window.partitionBy(*keys, *spread)
-    counted = F.count(F.lit(1)).over(window)
-    hot = hot_groups(df, keys, skew)
-    if hot is None:
-        return sized(df, counted)
-    large, rest = split_hot(df, keys, hot)
-    return sized(large, F.col("_n")).unionByName(sized(rest, counted))
+    salt = F.lit(0) if alone is None else F.when(alone, F.pmod(row_hash(df), F.lit(SALTS)) + 1).otherwise(0)
+    rows = df.withColumn("_salt", salt)
+    sizes = (rows if alone is None else rows.filter("_salt = 0")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], F.lit(0).alias("_gs"), "_n")
+    on = F.col("_salt") == F.col("_gs")
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"_g{i}"))
+    size = F.coalesce("_n", F.lit(1).cast("long"))
+    return rows.join(sizes, on, "left").select(*df.columns, size.alias(out))
+
+
+def _ahead(cuts: Column, value: Column) -> Column:
+    """How many of the ascending cuts are above the value; 0 without cuts."""
+    n = F.coalesce(F.size(cuts), F.lit(0))
+    begin = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["lo"] + at["hi"]) / 2).cast("int")
+        above = F.coalesce(F.get(cuts, middle) > value, F.lit(False))
+        open_ = at["lo"] < at["hi"]
+        return F.struct(
+            F.when(open_ & ~above, middle + 1).otherwise(at["lo"]).alias("lo"),
+            F.when(open_ & above, middle).otherwise(at["hi"]).alias("hi"),
+        )
+
+    # expected cuts are at most MOST_CUTS; more steps leave room for chance
+    steps = F.sequence(F.lit(1), F.lit(MOST_CUTS.bit_length() + 4))
+    return F.when(cuts.isNull(), 0).otherwise(n - F.aggregate(steps, begin, halve)["lo"])
 
 
 def with_group_rank(
@@ -103,85 +62,42 @@ def with_group_rank(
     key: str,
     order: Sequence[str],
     out: str,
-    skew: SkewPolicy = DEFAULT_SKEW,
     unique: bool = False,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Attach each row's 1-based position in its group, all ``order`` columns descending.
 
-    The last order column must be an integral tie-break; ``unique`` says that it never
-    repeats within a group. Hot groups are ranked apart, see ``_rank_hot``.
-    """
-    falling = [F.desc_nulls_last(c) for c in order]
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*falling)).cast("long")
-    hot = hot_groups(df, [key], skew)
-    if hot is None:
-        return df.withColumn(out, place)
-    large, rest = split_hot(df, [key], hot)
-    ranked = _rank_hot(large.drop("_n"), key, order, out, skew, unique)
-    return rest.withColumn(out, place).unionByName(ranked)
-
-
-def _cut_ranges(
-    rows: DataFrame, keys: Sequence[str], column: str, out: str, skew: SkewPolicy
-) -> tuple[DataFrame, bool]:
-    """Number equal-width ranges of ``column`` within each hot group that it can divide.
-
-    A few outliers can leave one range crowded, so the caller cuts again until no group is
-    hot: a crowded range is then divided by its own width.
-    """
-    low, high = F.min(column).cast("double"), F.max(column).cast("double")
-    dense = hot_groups(rows, keys, skew, low.alias("_lo"), high.alias("_hi"))
-    if dense is not None:
-        dense = dense.filter("_hi > _lo")
-    if dense is None or dense.isEmpty():
-        return rows, False
-    names = [f"_dense_{i}" for i in range(len(keys))]
-    right = dense.withColumnsRenamed(dict(zip(keys, names)))
-    on = same([F.col(k) for k in keys], [F.col(n) for n in names])
-    width = (F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / skew.hot_rows)
-    number = F.floor((F.col(column).cast("double") - F.col("_lo")) / width)
-    marked = rows.join(F.broadcast(right), on, "left")
-    return marked.select(*rows.columns, F.coalesce(number, F.lit(0).cast("long")).alias(out)), True
-
-
-def _rank_hot(
-    df: DataFrame, key: str, order: Sequence[str], out: str, skew: SkewPolicy, unique: bool
-) -> DataFrame:
-    """Rank rows of hot groups without bringing a whole group, or all its copies, together.
+    The last order column breaks ties; ``unique`` says that it never repeats within a group.
+    Otherwise copies of a row are first counted into one and written out again in blocks.
 
-    Copies of a row are first counted into one. A group is then cut into ordered slices:
-    one per value of the leading order columns and, while such a slice is itself hot, into
-    ranges of the tie-break. A row's place is its place in its slice plus the size of the
-    slices ahead of it. Copies are written out again in blocks.
+    A group of n distinct rows is cut at about ``n / slice_rows`` of its own sort tuples, chosen
+    by their hash. A row's place is its place in its slice plus the sizes of the slices ahead.
     """
     columns = df.columns
-    *lead, last = order
     rows = df.withColumn("_copies", F.lit(1).cast("long")) if unique else (
         df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     )
-    levels = list(lead)
-    for cut in range(MAX_CUTS):
-        rows, more = _cut_ranges(rows, [key, *levels], last, f"_cut{cut}", skew)
-        if not more:
-            break
-        levels.append(f"_cut{cut}")
-
-    # Plain key columns instead of a NULL-safe comparison: the window over slices and the
-    # join on their starts then share one shuffle.
+    # Plain key columns instead of a NULL-safe comparison, so that joins and windows share shuffles.
     group = ["_null", "_key"]
     rows = rows.withColumns({
         "_null": F.col(key).isNull(),
         "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
-        "_slice": F.struct(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(levels)]),
+        "_tuple": F.struct(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(order)]),
     })
-    fields = [f"_slice.{f}" for f in rows.schema["_slice"].dataType.names]
-    before = (Window.unboundedPreceding, -1)
-    slices = Window.partitionBy(*group).orderBy(*[F.desc_nulls_last(f) for f in fields])
-    starts = (
-        rows.groupBy(*group, "_slice")
-        .agg(F.sum("_copies").alias("_size"))
-        .select(*group, "_slice", F.sum("_size").over(slices.rowsBetween(*before)).alias("_start"))
+    wanted = F.least(F.floor(F.col("_rows") / slice_rows), F.lit(MOST_CUTS))
+    large = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > slice_rows)
+    chance = F.shiftrightunsigned(F.xxhash64("_tuple"), 11) / F.lit(2.0**53)
+    cuts = (
+        rows.select(*group, "_tuple").join(large.select(*group, (wanted / F.col("_rows")).alias("_rate")), group)
+        .filter(chance < F.col("_rate"))
+        .groupBy(*group).agg(F.sort_array(F.collect_list("_tuple")).alias("_cuts"))
     )
+    rows = rows.join(cuts, group, "left").withColumn("_slice", _ahead(F.col("_cuts"), F.col("_tuple"))).drop("_cuts", "_tuple")
+
+    before = (Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*group, "_slice").agg(F.sum("_copies").alias("_size"))
+    slices = Window.partitionBy(*group).orderBy("_slice").rowsBetween(*before)
+    starts = sizes.select(*group, "_slice", F.sum("_size").over(slices).alias("_start"))
     inner = Window.partitionBy(*group, "_slice").orderBy(*[F.desc_nulls_last(c) for c in order])
     placed = (
         rows.withColumn("_in", F.sum("_copies").over(inner.rowsBetween(*before)))
@@ -190,42 +106,22 @@ def _rank_hot(
     )
     if unique:
         return placed.select(*columns, F.col("_first").alias(out))
-    block = F.lit(skew.hot_rows).cast("long")
+    block = F.lit(slice_rows).cast("long")
     blocks = placed.select(
         *columns,
         "_first",
         "_copies",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / block))).alias("_block"),
-    ).repartition(row_hash(df), "_block")
+    ).hint("rebalance")
     start = F.col("_first") + F.col("_block") * block
     end = F.least(start + block, F.col("_first") + F.col("_copies")) - 1
     return blocks.select(*columns, F.explode(F.sequence(start, end)).alias(out))
 
 
-def restrict(
-    df: DataFrame,
-    keys: DataFrame,
-    on: Sequence[str],
-    how: str,
-    skew: SkewPolicy = DEFAULT_SKEW,
-) -> DataFrame:
-    """Semi or anti join of rows against a list of distinct keys such as batch ids.
+def restrict(df: DataFrame, keys: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join of rows against a list of keys such as batch ids.
 
-    The length of the list is checked first. A short list of one column becomes a filter,
-    which prunes partitions and is pushed into the scan; a longer one is broadcast. One
-    too long for that is replicated and the rows salted, so that a key with most of the
-    rows still spreads. A NULL key matches nothing.
+    Adaptive execution broadcasts a list that it has measured to be short and splits a key with
+    most of the rows. A NULL key matches nothing.
     """
-    on = list(on)
-    keys = keys.select(*on).na.drop()
-    if len(on) == 1:
-        found = keys.limit(skew.listed + 1).collect()
-        if len(found) <= skew.listed:
-            listed = F.col(on[0]).isin([r[0] for r in found])
-            return df.filter(listed if how == "left_semi" else ~F.coalesce(listed, F.lit(False)))
-    if keys.limit(skew.small_rows + 1).count() <= skew.small_rows:
-        return df.join(F.broadcast(keys), on, how)
-    salts = F.sequence(F.lit(0).cast("long"), F.lit(skew.replicas - 1).cast("long"))
-    copies = keys.withColumn("_salt", F.explode(salts))
-    salted = df.withColumn("_salt", F.pmod(row_hash(df), F.lit(skew.replicas)).cast("long"))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return df.join(keys.select(*on), list(on), how).select(*df.columns)

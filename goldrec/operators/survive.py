@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldrec.operators.rules import QUALITY_RULES, Rule, fill_full_name, quality_warning, rule_status, rules_for
-from goldrec.operators.skew import DEFAULT_SKEW, SkewPolicy, row_hash, with_group_rank
+from goldrec.operators.skew import SLICE_ROWS, row_hash, with_group_rank
 from goldrec.schemas import GOLD_COLUMNS
 
 
@@ -44,7 +44,7 @@ class Survivorship:
 
 
 def survivor_rank(
-    df: DataFrame, policy: Survivorship = Survivorship(), skew: SkewPolicy = DEFAULT_SKEW
+    df: DataFrame, policy: Survivorship = Survivorship(), slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Rank and status of every row: rank 1 is the survivor, the others are discarded."""
     terms = policy.order(df)
@@ -53,8 +53,8 @@ def survivor_rank(
         policy.key,
         list(terms),
         "SURVIVOR_RANK",
-        skew,
         unique=policy.tie is not None,
+        slice_rows=slice_rows,
     ).drop(*terms)
     status = F.when(F.col("SURVIVOR_RANK") == 1, "SURVIVOR").otherwise("DISCARDED")
     return ranked.withColumn("SURVIVOR_STATUS", status)

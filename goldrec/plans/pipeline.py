@@ -13,7 +13,6 @@ from goldrec.operators.gates import gate_providers, new_batches, unbatched
 from goldrec.operators.payload import (
     clean_strings, extract_fields, fieldless, no_fields, parse_payload,
 )
-from goldrec.operators.skew import DEFAULT_SKEW, SkewPolicy
 from goldrec.operators.survive import Survivorship, golden_record
 from goldrec.plans.marts import build_models
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, SILVER
@@ -30,7 +29,6 @@ class Layout:
     root: str
     survivorship: Survivorship = field(default_factory=Survivorship)
     gate: str = "skip_batch"
-    skew: SkewPolicy = DEFAULT_SKEW
 
     def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -63,7 +61,7 @@ def refine_silver(spark: SparkSession, layout: Layout) -> None:
     bronze = read_bronze(spark, layout.at("bronze"))
     unbatched(bronze).write.mode("overwrite").parquet(layout.at("unbatched"))
     done = read_layer(spark, layout.at("silver"), SILVER)
-    fresh = new_batches(bronze, done, layout.skew)
+    fresh = new_batches(bronze, done)
     if fresh.isEmpty():
         return
     dropped = Observation()
@@ -72,7 +70,7 @@ def refine_silver(spark: SparkSession, layout: Layout) -> None:
     if dropped.get["n"]:
         rejects = fieldless(parse_payload(fresh)).select(*BRONZE.names)
         known = read_layer(spark, layout.at("rejects"), BRONZE)
-        append_layer(new_batches(rejects, known, layout.skew), layout.at("rejects"))
+        append_layer(new_batches(rejects, known), layout.at("rejects"))
 
 
 def refine_gold(spark: SparkSession, layout: Layout) -> None:
@@ -81,10 +79,10 @@ def refine_gold(spark: SparkSession, layout: Layout) -> None:
     if rows is None:
         return
     held = read_layer(spark, layout.at("gold"), GOLD)
-    fresh = new_batches(rows, held, layout.skew)
+    fresh = new_batches(rows, held)
     best = golden_record(fresh, layout.survivorship)
     best = best.withColumn("LOAD_TIMESTAMP", F.col("LOAD_TIMESTAMP").cast("timestamp_ntz"))
-    append_layer(gate_providers(best, held, layout.gate, layout.skew), layout.at("gold"))
+    append_layer(gate_providers(best, held, layout.gate), layout.at("gold"))
 
 
 def publish(spark: SparkSession, layout: Layout) -> list[ExportResult]:

@@ -42,9 +42,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Spread a file scan with fewer partitions than task slots before CPU-heavy work.
-
-    A large table has more partitions than slots and is returned as it is, unshuffled.
-    """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots)
+    """Even out a file scan before CPU-heavy work: a large row group is one scan task."""
+    return scan.hint("rebalance")

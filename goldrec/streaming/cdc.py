@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from goldrec.operators.gates import new_batches
-from goldrec.operators.skew import DEFAULT_SKEW, SkewPolicy
 from goldrec.schemas import GOLD
 from goldrec.streaming.ingest import LANDING, start
 from goldrec.streaming.snapshot import SnapshotTable
@@ -31,11 +30,9 @@ def changes(spark: SparkSession, landing: str) -> DataFrame:
     return rows.filter("NOT REJECTED").select(*GOLD.names)
 
 
-def pending(
-    landing: DataFrame, consumed: DataFrame | None, skew: SkewPolicy = DEFAULT_SKEW
-) -> DataFrame:
+def pending(landing: DataFrame, consumed: DataFrame | None) -> DataFrame:
     """Landing rows of batches that were not consumed yet."""
-    return new_batches(landing, consumed, skew)
+    return new_batches(landing, consumed)
 
 
 def pending_counts(landing: DataFrame, consumed: DataFrame | None) -> DataFrame:
