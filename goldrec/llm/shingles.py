@@ -18,6 +18,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def parts(batches, rows: int = 1_000):
+    """Arrow batches in slices, so that what is made of them at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _byte_table(fold: bool) -> np.ndarray:
     code = np.arange(256, dtype=U)
     if fold:
