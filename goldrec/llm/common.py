@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from goldrec.session import scratch_dir
 
+BATCH_ROWS = 1_000
 LOWEST = -(2**63 - 1)
 
 
@@ -17,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Send at most BATCH_ROWS rows to Python at once in this session: texts are long rows.
+
+    The default is ten thousand, which for texts of some kilobytes takes a task hundreds of
+    megabytes on either side.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The rows, written to the shared folder and read back: a lost executor repeats nothing before."""
     spark = frame.sparkSession

@@ -7,13 +7,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from goldrec.llm import bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk
-from goldrec.llm.common import table
+from goldrec.llm.common import short_batches, table
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    short_batches(spark)
+    return table(spark, sf_dir, "documents")
+
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify(table(spark, sf_dir, "documents"))
+    return language.identify(documents(spark, sf_dir))
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,35 +27,35 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.quality_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard.near_duplicates(documents(spark, sf_dir))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.repeat_report(table(spark, sf_dir, "documents"))
+    return suffix.repeat_report(documents(spark, sf_dir))
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.token_digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return bpe.token_digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard_rows(table(spark, sf_dir, "documents"))
+    return sharding.shard_rows(documents(spark, sf_dir))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_report(table(spark, sf_dir, "documents"))
+    return mixing.mix_report(documents(spark, sf_dir))
 
 
 def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.scan(table(spark, sf_dir, "documents"))
+    return licences.scan(documents(spark, sf_dir))
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return omh.edit_likeness(table(spark, sf_dir, "documents"))
+    return omh.edit_likeness(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -326,15 +327,15 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, most: int = PIEC
     )
     kept = documents.columns
     joined = rows.join(notes, "doc", "left").select(
-        F.struct(*kept).alias("row"), "text", F.coalesce("settled", F.array()).alias("settled"), F.coalesce("spans", F.array()).alias("spans"))
+        F.struct(*kept).alias("row"), F.coalesce("settled", F.array()).alias("settled"), F.coalesce("spans", F.array()).alias("spans"))
     schema = joined.select("row", *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.lit(b"").alias("kept")).schema
 
     def run(batches):
         for batch in batches:
-            step = 1_000
+            step = 500
             for i in range(0, batch.num_rows, step):
                 part = batch.slice(i, step)
-                data, offsets, gone = _remove(part.column("text"), part.column("settled").to_pylist(), part.column("spans").to_pylist(), length, most)
+                data, offsets, gone = _remove(pc.struct_field(part.column("row"), "text"), part.column("settled").to_pylist(), part.column("spans").to_pylist(), length, most)
                 begins = gone.copy()
                 begins[1:] &= ~gone[:-1]
                 inner = offsets[:-1][offsets[:-1] < len(data)]
@@ -364,7 +365,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
                 new["n_chars"] = pa.array([len(t) for t in texts], batch.column("n_chars").type)
             yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names=names)
 
-    return rows.select(*names, "kept").mapInArrow(run, schema)
+    return rows.select(*[c for c in names if c != "text"], "kept").mapInArrow(run, schema)
 
 
 def repeat_report(documents: DataFrame) -> DataFrame:
