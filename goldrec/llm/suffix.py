@@ -307,8 +307,8 @@ def _later(rank: np.ndarray, place: np.ndarray, drop) -> None:
     drop(place[again], place[again])
 
 
-def without_repeats(documents: DataFrame, length: int = LENGTH, most: int = PIECE) -> DataFrame:
-    """The rows with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
+def judged(documents: DataFrame, length: int = LENGTH, most: int = PIECE) -> DataFrame:
+    """Each row as struct ``row``, with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
     rows = documents.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     texts = rows.select("doc", "text")
     known = written(ranked(anchor_rows(texts, length, most)), "ranks")
@@ -347,25 +347,30 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, most: int = PIEC
                     [part.column("row"), pa.array(np.diff(offsets)), pa.array(removed.astype(np.int64)), pa.array(spans.astype(np.int64)), pa.array(left, pa.binary())],
                     names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return joined.mapInArrow(run, schema).select("row.*", "n_bytes", "n_removed", "n_spans", "kept")
+    return joined.mapInArrow(run, schema)
+
+
+def without_repeats(documents: DataFrame, length: int = LENGTH, most: int = PIECE) -> DataFrame:
+    """The rows with n_bytes, n_removed, n_spans and kept."""
+    return judged(documents, length, most).select("row.*", "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The rows with the text that stays, and n_chars counted anew. Bytes of cut code points go too."""
     names = documents.columns
-    rows = without_repeats(documents)
-    schema = rows.withColumn("text", F.lit("")).select(*names).schema
-    counted = "n_chars" in names
+    schema = documents.withColumn("text", F.lit("")).select(*names).schema
+    rows = judged(documents).select(F.col("row").dropFields("text").alias("row"), "kept")
 
     def run(batches):
         for batch in batches:
+            row = batch.column("row")
             texts = [kept.decode("utf-8", "ignore") for kept in batch.column("kept").to_pylist()]
             new = {"text": pa.array(texts, pa.string())}
-            if counted:
-                new["n_chars"] = pa.array([len(t) for t in texts], batch.column("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names=names)
+            if "n_chars" in names:
+                new["n_chars"] = pa.array([len(t) for t in texts], pc.struct_field(row, "n_chars").type)
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else pc.struct_field(row, c) for c in names], names=names)
 
-    return rows.select(*[c for c in names if c != "text"], "kept").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def repeat_report(documents: DataFrame) -> DataFrame:
