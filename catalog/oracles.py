@@ -158,6 +158,9 @@ on_gold("load_by_name", f"""
 on_gold("load_by_name_rejects", """
   SELECT 'LOAD_DATE' AS FAILED_COLUMNS, ProviderID AS PROVIDER_ID, 'not a date' AS LOAD_DATE_TEXT
   FROM gold WHERE PostalCode = '10070'""")
+on_gold("load_by_name_bad_files", """
+  SELECT BATCH_ID, count(*) AS ROWS FROM gold WHERE BATCH_ID <> 'BATCH_1997' GROUP BY BATCH_ID
+  UNION ALL SELECT 'corrupt.parquet', 1""")
 on_landing("initial_load", f"SELECT {ALL} FROM landing")
 on_gold("backfill", f"SELECT {ALL} FROM gold")
 on_gold("load_history", """
@@ -312,7 +315,8 @@ for _compat in (False, True):
 on_gold("gate_batch", f"SELECT {ALL} FROM gold WHERE BATCH_ID NOT IN {DONE}")
 _DAY = "'BATCH_' || strftime(LOAD_TIMESTAMP, '%Y%m%d_%H%M%S') AS BATCH_ID"
 _GATE = f"""WITH {SOURCE},
-  {golden_cte('held', "BATCH_ID <= 'BATCH_1998' AND State = 'ASIA'")},
+  {golden_cte('everyone')},
+  held AS (SELECT * FROM everyone WHERE CAST(ProviderID AS INTEGER) % 5 = 0),
   {golden_cte('yearly', "BATCH_ID > 'BATCH_1998'")},
   fresh AS (SELECT {', '.join(c for c in GOLD if c != 'BATCH_ID')}, {_DAY} FROM yearly),
   verdict AS (
@@ -325,6 +329,18 @@ ORACLES["gate_provider"] = f"""{_GATE} SELECT {ALL} FROM fresh
 ORACLES["gate_provider_verdicts"] = f"{_GATE} SELECT * FROM verdict"
 ORACLES["gate_provider_anti"] = f"""{_GATE} SELECT {ALL} FROM fresh
   WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.ProviderID = fresh.ProviderID)"""
+ORACLES["gate_provider_upsert"] = f"""{_GATE} SELECT {ALL} FROM fresh UNION ALL
+  SELECT {ALL} FROM held WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh.ProviderID = held.ProviderID)"""
+ORACLES["gate_poison"] = f"""WITH {SOURCE},
+  {golden_cte('early', "BATCH_ID < 'BATCH_1997'")},
+  fresh AS (SELECT * FROM provider_src WHERE BATCH_ID = 'BATCH_1997'
+    OR BATCH_ID > 'BATCH_1997' AND CAST(ProviderID AS INTEGER) % 50 <> 0),
+  blocked AS (SELECT DISTINCT BATCH_ID FROM fresh WHERE ProviderID IN
+    (SELECT ProviderID FROM early WHERE CAST(ProviderID AS INTEGER) % 50 = 0)),
+  {golden_cte('gold', "BATCH_ID NOT IN (SELECT BATCH_ID FROM blocked)").replace("FROM provider_src", "FROM fresh")}
+  SELECT {ALL} FROM gold"""
+on_source("late_file_batch", """
+  SELECT BATCH_ID, count(*) AS ROWS, count(ProviderID) AS IDS FROM provider_src GROUP BY BATCH_ID""")
 on_gold("gate_export", f"""SELECT {ALL} FROM gold
   WHERE BATCH_ID NOT IN ('BATCH_1995', 'BATCH_1996', 'BATCH_1997')""")
 on_gold("batch_consistency", """
@@ -426,11 +442,10 @@ for _name, _column in {
 
 # G. Monitoring
 
-ORACLES["layer_counts"] = f"""WITH {SOURCE}, {golden_cte()}
-  SELECT 'silver' AS LAYER, count(*) AS TOTAL_RECORDS FROM provider_src UNION ALL
-  SELECT 'landing', count(*) FROM provider_src UNION ALL
-  SELECT 'gold', count(*) FROM gold UNION ALL
-  SELECT 'dimension', count(*) FROM gold"""
+_LAYERS = {"bronze": "provider_src", "silver": "provider_src", "gold": "gold", "landing": "gold", "keyed table": "gold", "dimension": "gold",
+           "state mart": "(SELECT DISTINCT State FROM gold)"}
+ORACLES["layer_counts"] = f"WITH {SOURCE}, {golden_cte()} " + " UNION ALL ".join(
+    f"SELECT '{layer}' AS LAYER, count(*) AS TOTAL_RECORDS FROM {rows}" for layer, rows in _LAYERS.items())
 on_landing("latest_rows", f"SELECT {ALL} FROM landing ORDER BY LOAD_TIMESTAMP DESC")
 on_gold("latest_dimension_rows", f"SELECT {ALL} FROM gold ORDER BY LOAD_TIMESTAMP DESC")
 on_landing("latest_batches", _BATCHES.format("landing"))
@@ -447,6 +462,15 @@ on_gold("export_audit", """
   SELECT BATCH_ID, count(*) AS ROW_COUNT, 'SUCCESS' AS STATUS FROM gold
   WHERE BATCH_ID = 'BATCH_1999' GROUP BY BATCH_ID""")
 
+on_gold("export_audit_all", """
+  SELECT BATCH_ID, count(*) AS ROW_COUNT, 'SUCCESS' AS STATUS, CAST(NULL AS VARCHAR) AS ERROR_MESSAGE
+  FROM gold GROUP BY BATCH_ID
+  UNION ALL SELECT DISTINCT BATCH_ID, 0, 'FAILED', 'no space' FROM gold""")
+on_gold("export_replay", f"SELECT {ALL} FROM gold")
+on_gold("sample_rows", f"SELECT {ALL} FROM gold ORDER BY ProviderID NULLS LAST, BATCH_ID NULLS LAST LIMIT 10")
+on_source("audit_columns", f"""SELECT {', '.join(AUDIT)} FROM provider_src
+  ORDER BY LOAD_TIMESTAMP NULLS LAST, FILE_NAME NULLS LAST, BATCH_ID NULLS LAST LIMIT 50""")
+
 # H. Models, tests, reconciliation
 
 STATES = "count(DISTINCT State) AS TOTAL_STATES"

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.operators import gates, matching, payload, rules, standardize, survive
-from goldrec.plans import marts, reports
+from goldrec.plans import marts, pipeline, reports
 from goldrec.plans.provider_view import provider_src, silver_shape
 from goldrec.schemas import ATTRIBUTES, AUDIT, GOLD, GOLD_COLUMNS, PAYLOAD
 from goldrec.session import scratch_dir
 from goldrec.sources import export, files, history, tables
 from goldrec.streaming import cdc, ingest
-from goldrec.streaming.snapshot import SnapshotTable
+from goldrec.streaming.keyed import KeyedTable, upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,9 +218,9 @@ def export_log_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the pending export: the second finds nothing to do."""
     root, log_path = scratch_dir(spark, "exports"), scratch_dir(spark, "export-log")
     gold = golden(spark, sf)
-    export.log_export(spark, export.export_pending(gold, root), log_path)
+    export.log_export(export.export_pending(gold, root), log_path)
     log = spark.read.schema(export.EXPORT_LOG).parquet(log_path)
-    export.log_export(spark, export.export_pending(gold, root, log), log_path)
+    export.log_export(export.export_pending(gold, root, log), log_path)
     log = spark.read.schema(export.EXPORT_LOG).parquet(log_path)
     return log.select("BATCH_ID", "ROW_COUNT", "STATUS", "ERROR_MESSAGE")
 
@@ -255,6 +255,33 @@ def load_by_name_rejects(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stage_bad_files(spark: SparkSession, sf: str, path: str) -> None:
+    """Good files, files with a column of another type, and files that aren't Parquet."""
+    rows = golden(spark, sf)
+    rows.filter("BATCH_ID < 'BATCH_1997'").coalesce(1).write.parquet(f"{path}/good")
+    odd = rows.filter("BATCH_ID > 'BATCH_1997'").withColumn("LOAD_DATE", F.array(F.col("LOAD_DATE").cast("string")))
+    odd.withColumn("LOAD_DATE", F.element_at("LOAD_DATE", 1)).coalesce(1).write.parquet(f"{path}/mistyped")
+    broken = rows.filter("BATCH_ID = 'BATCH_1997'").select("BATCH_ID").distinct()
+    broken.coalesce(1).write.text(f"{path}/text")
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
+    folder = fs.Path(f"{path}/text")
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.globStatus(fs.Path(f"{path}/text/part-*")):
+        system.rename(status.getPath(), fs.Path(f"{path}/text/corrupt.parquet"))
+
+
+@query
+def load_by_name_bad_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One corrupt file stops nothing: the others are loaded and it is listed with the reason."""
+    root = scratch_dir(spark, "bad-files")
+    _stage_bad_files(spark, sf, f"{root}/staged")
+    for _ in range(2):
+        ingest.load_by_name(spark, f"{root}/staged", f"{root}/landing", f"{root}/checkpoint")
+    found = ingest.read_landing(spark, f"{root}/landing").groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("ROWS"))
+    bad = ingest.loaded_files(spark, f"{root}/landing").filter("STATUS = 'UNREADABLE'")
+    return found.unionByName(bad.groupBy(F.regexp_extract("FILE_PATH", "[^/]+$", 0).alias("BATCH_ID")).agg(F.count(F.lit(1)).alias("ROWS")))
+
+
 @query
 def initial_load(spark: SparkSession, sf: str) -> DataFrame:
     """All landing rows, repeated ids included."""
@@ -566,7 +593,7 @@ def _daily(df: DataFrame) -> DataFrame:
 
 
 def _gate_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    held = golden(spark, sf, "BATCH_ID <= 'BATCH_1998' AND State = 'ASIA'")
+    held = golden(spark, sf).filter("CAST(ProviderID AS INT) % 5 = 0")
     rows = golden(spark, sf, "BATCH_ID > 'BATCH_1998'")
     return _daily(rows), held
 
@@ -586,6 +613,37 @@ def gate_provider_anti(spark: SparkSession, sf: str) -> DataFrame:
     return gates.gate_providers(*_gate_sides(spark, sf), mode="anti")
 
 
+@query
+def gate_provider_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows pass, and the newest row of an id is the one that counts."""
+    rows, held = _gate_sides(spark, sf)
+    return upsert(held, gates.gate_providers(rows, held, mode="upsert"), "ProviderID")
+
+
+@query
+def gate_poison(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that is blocked for one known id keeps none of its other ids from later batches."""
+    rows = provider_src(spark, sf)
+    held = golden(spark, sf, "BATCH_ID < 'BATCH_1997'").filter("CAST(ProviderID AS INT) % 50 = 0")
+    fresh = rows.filter("BATCH_ID = 'BATCH_1997' OR BATCH_ID > 'BATCH_1997' AND CAST(ProviderID AS INT) % 50 <> 0")
+    best, _ = pipeline.decide(fresh, held, pipeline.Layout("unused", _policy()))
+    return best
+
+
+@query
+def late_file_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch comes in two files, the second one after silver has taken the first."""
+    root, rows = scratch_dir(spark, "late"), bronze_rows(spark, sf)
+    layout = pipeline.Layout(root)
+    for drop, part in (("first", F.col("LOAD_DATE") < F.lit("1997-07-01")), ("second", F.col("LOAD_DATE") >= F.lit("1997-07-01"))):
+        files.write_envelopes(rows.filter(part), f"{root}/in/{drop}")
+        for _ in range(2):
+            ingest.ingest_files(spark, f"{root}/in", layout.at("bronze"), layout.at("checkpoints/bronze"))
+            pipeline.refine_silver(spark, layout)
+    silver = pipeline.read_layer(spark, layout.at("silver"), pipeline.SILVER)
+    return silver.groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("ROWS"), F.count("ProviderID").alias("IDS"))
+
+
 @query
 def gate_export(spark: SparkSession, sf: str) -> DataFrame:
     """The log is derived from the batches: early ones succeeded, one only failed."""
@@ -690,25 +748,24 @@ def _land(spark: SparkSession, root: str, drop: str, rows: DataFrame) -> None:
 
 @query
 def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    table = SnapshotTable(spark, scratch_dir(spark, "master"), buckets=8)
-    table.load(_until(spark, sf))
-    table.merge(_after(spark, sf), "later")
-    return table.read()
+    return upsert(_until(spark, sf), _after(spark, sf), "ProviderID")
 
 
 @query
 def merge_replay(spark: SparkSession, sf: str) -> DataFrame:
-    """The same commits made twice change nothing."""
-    table = SnapshotTable(spark, scratch_dir(spark, "master"), buckets=8)
+    """The same commits made twice change nothing, also in the table that compaction makes."""
+    table = KeyedTable(spark, scratch_dir(spark, "master"))
     for _ in range(2):
         table.load(_until(spark, sf))
-        table.merge(_after(spark, sf), "later")
-    return table.read()
+        table.merge(_after(spark, sf), 1)
+    smaller = table.compact(scratch_dir(spark, "master"))
+    smaller.merge(_after(spark, sf).filter("ProviderID IS NOT NULL"), 1)
+    return smaller.read()
 
 
-def _run_twice(spark: SparkSession, sf: str) -> tuple[SnapshotTable, str]:
+def _run_twice(spark: SparkSession, sf: str) -> tuple[KeyedTable, str]:
     root = scratch_dir(spark, "upsert")
-    table = SnapshotTable(spark, f"{root}/master", buckets=8)
+    table = KeyedTable(spark, f"{root}/master")
     for drop, rows in (("old", _until(spark, sf)), ("new", _after(spark, sf))):
         _land(spark, root, drop, rows)
         for _ in range(2):  # the second run finds nothing pending
@@ -744,12 +801,19 @@ def landing_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def layer_counts(spark: SparkSession, sf: str) -> DataFrame:
-    gold = golden(spark, sf)
+    """Rows of every layer that a run of the whole job has written."""
+    root = scratch_dir(spark, "layers")
+    layout = pipeline.Layout(root)
+    files.write_envelopes(bronze_rows(spark, sf), f"{root}/in")
+    models = pipeline.run_all(spark, layout, f"{root}/in")
     return reports.layer_counts({
-        "silver": flat_rows(spark, sf),
-        "landing": landing_rows(spark, sf),
-        "gold": gold,
-        "dimension": marts.dimension(gold),
+        "bronze": ingest.read_bronze(spark, layout.at("bronze")),
+        "silver": pipeline.read_layer(spark, layout.at("silver"), pipeline.SILVER),
+        "gold": pipeline.read_layer(spark, layout.at("gold"), GOLD),
+        "landing": ingest.read_landing(spark, layout.at("landing")),
+        "keyed table": pipeline.keyed_table(spark, layout).read(),
+        "dimension": models["dim_provider"],
+        "state mart": models["mart_provider_state"],
     })
 
 
@@ -801,12 +865,38 @@ def failed_rule_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def export_audit(spark: SparkSession, sf: str) -> DataFrame:
     log_path = scratch_dir(spark, "export-log")
-    results = export.export_pending(golden(spark, sf), scratch_dir(spark, "exports"))
-    export.log_export(spark, results, log_path)
+    export.log_export(export.export_pending(golden(spark, sf), scratch_dir(spark, "exports")), log_path)
     log = spark.read.schema(export.EXPORT_LOG).parquet(log_path)
     return reports.export_audit(log, "BATCH_1999").select("BATCH_ID", "ROW_COUNT", "STATUS")
 
 
+@query
+def export_audit_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log, after an attempt that failed and two that did not, newest first."""
+    log_path, root = scratch_dir(spark, "export-log"), scratch_dir(spark, "exports")
+    gold = golden(spark, sf)
+    failed = gates.batch_list(gold).select(
+        F.lit("x").alias("EXPORT_ID"), "BATCH_ID", F.lit("2020-01-01").cast("timestamp").alias("EXPORT_TIMESTAMP"),
+        F.lit("N/A").alias("S3_PATH"), F.lit(0).cast("long").alias("ROW_COUNT"), F.lit("FAILED").alias("STATUS"),
+        F.lit("no space").alias("ERROR_MESSAGE"))
+    export.log_export(failed, log_path)
+    for _ in range(2):
+        log = spark.read.schema(export.EXPORT_LOG).parquet(log_path)
+        export.log_export(export.export_pending(gold, root, log), log_path)
+    log = spark.read.schema(export.EXPORT_LOG).parquet(log_path)
+    return reports.export_audit(log).select("BATCH_ID", "ROW_COUNT", "STATUS", "ERROR_MESSAGE")
+
+
+@query
+def export_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """An export made again under its name replaces itself; what is staged are the rows once."""
+    root = scratch_dir(spark, "exports")
+    for _ in range(2):
+        export.export_pending(golden(spark, sf), root, run="one")
+    ingest.load_by_name(spark, root, f"{root}-landing", f"{root}-checkpoint", GOLD)
+    return ingest.read_landing(spark, f"{root}-landing")
+
+
 @query
 def audit_columns(spark: SparkSession, sf: str) -> DataFrame:
     return reports.audit_columns(flat_rows(spark, sf))

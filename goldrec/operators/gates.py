@@ -60,9 +60,12 @@ def gate_providers(
     """Rows that may be appended to gold, out of golden records: one row per id.
 
     ``skip_batch`` holds back every batch that has an id gold knows; ``anti`` appends the
-    unseen ids of every batch. NULL ids are never known.
+    unseen ids of every batch; ``upsert`` appends all rows, for a keyed table to take the newest
+    of each id. NULL ids are never known.
     """
-    if gold is None:
+    if mode not in ("skip_batch", "anti", "upsert"):
+        raise ValueError(f"unknown gate mode: {mode}")
+    if gold is None or mode == "upsert":
         return candidate
     if mode == "anti":
         held = gold.select("ProviderID").filter("ProviderID IS NOT NULL").distinct()
@@ -70,8 +73,6 @@ def gate_providers(
         unseen = candidate.filter("ProviderID IS NOT NULL").join(held, "ProviderID", "left_anti")
         missing = candidate.filter("ProviderID IS NULL")
         return unseen.select(*candidate.columns).unionByName(missing)
-    if mode != "skip_batch":
-        raise ValueError(f"unknown gate mode: {mode}")
     blocked = known_providers(candidate, gold).filter("BLOCKED").select("BATCH_ID")
     return restrict(candidate, blocked, ["BATCH_ID"], "left_anti")
 

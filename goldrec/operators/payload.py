@@ -130,7 +130,7 @@ def explode_fields(parsed: DataFrame) -> DataFrame:
     would infer, which would be pushed below the parse and parse every text twice.
     """
     fields = F.when(~no_fields(), F.col("provider.fields"))
-    return parsed.withColumn("field", F.explode(fields))
+    return parsed.select("*", F.posexplode(fields).alias("POSITION", "field"))
 
 
 def fieldless(parsed: DataFrame) -> DataFrame:
@@ -142,6 +142,7 @@ def flatten_fields(exploded: DataFrame) -> DataFrame:
     return exploded.select(
         "PROVIDER_JSON",
         "PAYLOAD_ID",
+        "POSITION",
         F.col("field.name").alias("FIELD_NAME"),
         F.get("field.values", F.lit(0)).alias("FIELD_VALUE"),
         F.col("field.method").alias("MATCH_METHOD"),
@@ -159,7 +160,7 @@ def pivot_fields(fields: DataFrame) -> DataFrame:
     return (
         fields.groupBy("PAYLOAD_ID", *AUDIT)
         .pivot("FIELD_NAME", ATTRIBUTES)
-        .agg(F.first("FIELD_VALUE"))
+        .agg(F.min_by("FIELD_VALUE", "POSITION"))  # a repeated name keeps its first entry
         .select(*SILVER_COLUMNS)
     )
 

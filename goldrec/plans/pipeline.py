@@ -1,25 +1,39 @@
-"""The layered job: bronze to silver to gold, exports, landing, keyed table, models."""
+"""The layered job: bronze to silver to gold, exports, landing, keyed table, models.
+
+Every step is a stream that drains what is new and stops. Its checkpoint is the ledger of what has
+been taken, file by file, so a file that arrives late for a batch goes on like any other. A step
+writes the folder of its micro-batch (``EPOCH``) over, so a run that died anywhere can be repeated
+and gives the same tables. Steps run one after another, one run at a time.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldrec.operators.gates import gate_providers, new_batches, unbatched
-from goldrec.operators.payload import (
-    clean_strings, extract_fields, fieldless, no_fields, parse_payload,
-)
+from goldrec.operators.gates import gate_providers, known_providers, unbatched
+from goldrec.operators.payload import clean_strings, extract_fields, fieldless, parse_payload
 from goldrec.operators.survive import Survivorship, golden_record
 from goldrec.plans.marts import build_models
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, SILVER
-from goldrec.sources.export import ExportResult, export_pending, log_export
+from goldrec.sources.export import export_pending, log_export
 from goldrec.streaming.cdc import run_upsert
-from goldrec.streaming.ingest import ingest_files, load_by_name, read_bronze
-from goldrec.streaming.snapshot import SnapshotTable
+from goldrec.streaming.ingest import KEEP, PACE, ingest_files, load_by_name, start
+from goldrec.streaming.keyed import KeyedTable
+
+EPOCH = T.StructField("EPOCH", T.LongType())
+VERDICTS = T.StructType([
+    T.StructField("BATCH_ID", T.StringType()),
+    T.StructField("PROVIDERS", T.LongType()),
+    T.StructField("KNOWN_PROVIDERS", T.LongType()),
+    T.StructField("WRITTEN", T.LongType()),
+    T.StructField("VERDICT", T.StringType()),
+])
 
 
 @dataclass(frozen=True)
@@ -29,6 +43,7 @@ class Layout:
     root: str
     survivorship: Survivorship = field(default_factory=Survivorship)
     gate: str = "skip_batch"
+    pace: int = PACE
 
     def at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -37,74 +52,114 @@ class Layout:
 def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """A layer's rows, or None before its first write."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(T.StructType([*schema.fields, EPOCH])).parquet(path).select(*schema.names)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def append_layer(df: DataFrame, path: str) -> None:
-    """Append partitioned by batch, so that batch filters prune folders.
+def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
+    """A micro-batch's rows in a folder of its own; doing it again replaces them."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{path}/EPOCH={epoch}")
 
-    Rebalancing gathers the rows of a small batch into few files and splits a large one.
-    """
-    df.hint("rebalance", "BATCH_ID").write.mode("append").partitionBy("BATCH_ID").parquet(path)
+
+def each_epoch(
+    spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, step: Callable[[DataFrame, int], None]
+) -> None:
+    """Run ``step`` on what a layer has gained since the checkpoint, all of it together."""
+    if read_layer(spark, path, schema) is None:
+        return
+    reader = spark.readStream.schema(T.StructType([*schema.fields, EPOCH])).option("maxFileAge", KEEP)
+    rows = reader.parquet(path).select(*schema.names)
+    start(rows.writeStream.foreachBatch(step), checkpoint)
 
 
 def refine_silver(spark: SparkSession, layout: Layout) -> None:
-    """Standardise the bronze batches that silver lacks.
+    """Standardise the bronze rows that silver hasn't taken.
 
-    Rows without a batch and payloads without fields cannot go on; both are kept apart.
-    The latter are counted on the way, so they cost a second pass only if there are any.
+    Rows without a batch and payloads without fields cannot go on; both are kept apart, in the
+    same step, so neither is lost or looked at again.
     """
-    bronze = read_bronze(spark, layout.at("bronze"))
-    unbatched(bronze).write.mode("overwrite").parquet(layout.at("unbatched"))
-    done = read_layer(spark, layout.at("silver"), SILVER)
-    fresh = new_batches(bronze, done)
-    if fresh.isEmpty():
-        return
-    dropped = Observation()
-    parsed = parse_payload(fresh).observe(dropped, F.count_if(no_fields()).alias("n"))
-    append_layer(clean_strings(extract_fields(parsed)), layout.at("silver"))
-    if dropped.get["n"]:
-        rejects = fieldless(parse_payload(fresh)).select(*BRONZE.names)
-        known = read_layer(spark, layout.at("rejects"), BRONZE)
-        append_layer(new_batches(rejects, known), layout.at("rejects"))
 
+    def step(bronze: DataFrame, epoch: int) -> None:
+        write_epoch(unbatched(bronze), layout.at("unbatched"), epoch)
+        parsed = parse_payload(bronze.filter("BATCH_ID IS NOT NULL"))
+        write_epoch(fieldless(parsed).select(*BRONZE.names), layout.at("rejects"), epoch)
+        write_epoch(clean_strings(extract_fields(parsed)), layout.at("silver"), epoch)
 
-def refine_gold(spark: SparkSession, layout: Layout) -> None:
-    """Golden records of the silver batches that gold lacks, behind the provider gate."""
-    rows = read_layer(spark, layout.at("silver"), SILVER)
-    if rows is None:
-        return
-    held = read_layer(spark, layout.at("gold"), GOLD)
-    fresh = new_batches(rows, held)
-    best = golden_record(fresh, layout.survivorship)
-    best = best.withColumn("LOAD_TIMESTAMP", F.col("LOAD_TIMESTAMP").cast("timestamp_ntz"))
-    append_layer(gate_providers(best, held, layout.gate), layout.at("gold"))
+    reader = spark.readStream.schema(BRONZE).option("maxBytesPerTrigger", layout.pace).option("maxFileAge", KEEP)
+    start(reader.parquet(layout.at("bronze")).writeStream.foreachBatch(step), layout.at("checkpoints/silver"))
 
 
-def publish(spark: SparkSession, layout: Layout) -> list[ExportResult]:
-    """Export every gold batch without a successful export, and log the attempts."""
-    held = read_layer(spark, layout.at("gold"), GOLD)
+def decide(rows: DataFrame, held: DataFrame | None, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """Golden records of the rows that may be written, and the verdict on each batch.
+
+    The gate comes first: a blocked batch takes no part in survivorship, so none of its rows can
+    beat one of a batch that is written. Verdicts: written, blocked, lost (no row survived).
+    """
     if held is None:
-        return []
-    log = read_layer(spark, layout.at("export_log"), EXPORT_LOG)
-    results = export_pending(held, layout.at("exports"), log)
-    if results:
-        log_export(spark, results, layout.at("export_log"))
-    return results
+        held = rows.select("ProviderID").filter("false")
+    known = known_providers(rows, held)
+    best = golden_record(gate_providers(rows, held, layout.gate), layout.survivorship)
+    best = best.withColumn("LOAD_TIMESTAMP", F.col("LOAD_TIMESTAMP").cast("timestamp_ntz"))
+    written = best.groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("WRITTEN"))
+    blocked = F.col("BLOCKED") & F.lit(layout.gate == "skip_batch")
+    verdict = F.when(blocked, "blocked").when(F.col("WRITTEN") > 0, "written").otherwise("lost")
+    ledger = known.join(written, "BATCH_ID", "left").select(
+        "BATCH_ID", "PROVIDERS", "KNOWN_PROVIDERS", F.coalesce("WRITTEN", F.lit(0).cast("long")).alias("WRITTEN"),
+        verdict.alias("VERDICT"))
+    return best, ledger
+
+
+def refine_gold(spark: SparkSession, layout: Layout) -> None:
+    """Golden records of the silver rows that gold hasn't taken, behind the provider gate.
+
+    What is compared is gold as of the epochs before, so a repeated epoch decides the same.
+    """
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        gold = T.StructType([*GOLD.fields, EPOCH])
+        held = None
+        if read_layer(spark, layout.at("gold"), GOLD) is not None:
+            held = spark.read.schema(gold).parquet(layout.at("gold")).filter(F.col("EPOCH") < epoch)
+        best, ledger = decide(rows, held, layout)
+        write_epoch(best, layout.at("gold"), epoch)
+        write_epoch(ledger, layout.at("verdicts"), epoch)
+
+    each_epoch(spark, layout.at("silver"), SILVER, layout.at("checkpoints/gold"), step)
+
+
+def publish(spark: SparkSession, layout: Layout) -> None:
+    """Export the gold rows that haven't been, and log the attempts.
+
+    The folder is named by the epoch: after a crash the same rows are exported to it again, and
+    landing, which runs later, sees only the last attempt. A failed attempt is logged and raised.
+    """
+
+    def step(rows: DataFrame, epoch: int) -> None:
+        attempts = export_pending(rows, layout.at("exports"), run=f"{epoch:012d}").persist()
+        try:
+            log_export(attempts, f"{layout.at('export_log')}/EPOCH={epoch}", mode="overwrite")
+            failed = attempts.filter("STATUS <> 'SUCCESS'").first()
+        finally:
+            attempts.unpersist()
+        if failed:
+            raise RuntimeError(failed["ERROR_MESSAGE"])
+
+    each_epoch(spark, layout.at("gold"), GOLD, layout.at("checkpoints/exports"), step)
 
 
-def keyed_table(spark: SparkSession, layout: Layout) -> SnapshotTable:
-    return SnapshotTable(spark, layout.at("master"))
+def keyed_table(spark: SparkSession, layout: Layout) -> KeyedTable:
+    return KeyedTable(spark, layout.at("master"))
 
 
 def load_master(spark: SparkSession, layout: Layout) -> None:
     """Exports to landing, landing changes into the keyed table."""
+    if read_layer(spark, layout.at("export_log"), EXPORT_LOG) is None:
+        return
     load_by_name(
-        spark, layout.at("exports"), layout.at("landing"), layout.at("checkpoints/landing"), GOLD
+        spark, layout.at("exports"), layout.at("landing"), layout.at("checkpoints/landing"), GOLD, pace=layout.pace
     )
     run_upsert(
         spark,
@@ -112,14 +167,16 @@ def load_master(spark: SparkSession, layout: Layout) -> None:
         keyed_table(spark, layout),
         layout.at("checkpoints/master"),
         layout.at("runs"),
+        pace=layout.pace,
     )
 
 
+STEPS = (refine_silver, refine_gold, publish, load_master)
+
+
 def run_all(spark: SparkSession, layout: Layout, processed: str) -> dict[str, DataFrame]:
     """Every step once over what is new; running it again without new files adds nothing."""
-    ingest_files(spark, processed, layout.at("bronze"), layout.at("checkpoints/bronze"))
-    refine_silver(spark, layout)
-    refine_gold(spark, layout)
-    if publish(spark, layout):
-        load_master(spark, layout)
+    ingest_files(spark, processed, layout.at("bronze"), layout.at("checkpoints/bronze"), pace=layout.pace)
+    for step in STEPS:
+        step(spark, layout)
     return build_models(keyed_table(spark, layout).read(), layout.at("models"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame
@@ -143,12 +143,13 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return combined
 
 
-def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
-    return df.limit(n)
+def sample_rows(df: DataFrame, n: int = 10, order: Sequence[str] = ("ProviderID", "BATCH_ID")) -> DataFrame:
+    """The first rows by the given columns; which rows are shown is then the same every time."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
 
 def audit_columns(df: DataFrame, n: int = 50) -> DataFrame:
-    return df.select(*AUDIT).limit(n)
+    return df.select(*AUDIT).orderBy(*[F.asc_nulls_last(c) for c in ("LOAD_TIMESTAMP", "FILE_NAME", "BATCH_ID")]).limit(n)
 
 
 # The columns whose distribution is monitored on landing and gold.

@@ -6,7 +6,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.operators.gates import gate_export
@@ -38,9 +38,9 @@ def log_rows(spark: SparkSession, results: list[ExportResult]) -> DataFrame:
     return spark.createDataFrame(rows, EXPORT_LOG)
 
 
-def log_export(spark: SparkSession, results: list[ExportResult], log_path: str) -> None:
-    """Append the attempts to the log; one small file, since a run has few batches."""
-    log_rows(spark, results).coalesce(1).write.mode("append").parquet(log_path)
+def log_export(attempts: DataFrame, log_path: str, mode: str = "append") -> None:
+    """Add the attempts to the log."""
+    attempts.coalesce(1).write.mode(mode).parquet(log_path)
 
 
 def export_batch(
@@ -76,38 +76,43 @@ def export_batch(
     return ExportResult(batch_id, path, written.get["n"], "SUCCESS")
 
 
+def _folder(file_path: Column) -> Column:
+    """A file's folder as the file system names it: the path in file metadata is an escaped URI."""
+    return F.url_decode(F.replace(F.regexp_replace(file_path, "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))
+
+
 def export_pending(
     gold: DataFrame,
     directory: str,
     log: DataFrame | None = None,
+    run: str | None = None,
     rows_per_file: int = 5_000_000,
-) -> list[ExportResult]:
-    """Write every batch without a successful export, all in one job.
+) -> DataFrame:
+    """Write every batch without a successful export in one job; gives the rows for the log.
 
     Rows are grouped by batch for the write; adaptive execution splits a large batch over
-    several tasks and files. Each batch lands in its own folder and yields one result.
+    several tasks and files. Each batch lands in its own folder and yields one log row, counted
+    in what was written. A ``run`` that is named writes the same folder when it is repeated.
     """
+    spark = gold.sparkSession
     pending = gate_export(gold, log)
-    if pending.isEmpty():
-        return []
-    run = f"{directory}/provider_gold_{_run_name()}"
+    path = f"{directory}/provider_gold_{run or _run_name()}"
     try:
         (
             pending.withColumn("batch", F.col("BATCH_ID"))
             .hint("rebalance", "batch")
-            .write.mode("error")
+            .write.mode("overwrite")
             .option("maxRecordsPerFile", rows_per_file)
             .partitionBy("batch")
-            .parquet(run)
+            .parquet(path)
         )
         status, error = "SUCCESS", None
-        exported = gold.sparkSession.read.schema("BATCH_ID STRING, batch STRING").parquet(run)
+        written = spark.read.schema("BATCH_ID STRING, batch STRING").parquet(path)
+        found = written.select("BATCH_ID", _folder(F.col("_metadata.file_path")).alias("S3_PATH"))
     except Exception as e:  # whatever it is, the attempts are logged as failed
         status, error = "FAILED", str(e)
-        exported = pending.withColumn("batch", F.col("BATCH_ID"))
-    # One row per batch of this run, counted in what was written.
-    counts = exported.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).orderBy("batch")
-    return [
-        ExportResult(r["batch"], f"{run}/batch={r['batch']}", r["n"], status, error)
-        for r in counts.collect()
-    ]
+        found = pending.select("BATCH_ID", F.lit(path).alias("S3_PATH"))
+    counts = found.groupBy("BATCH_ID").agg(F.min("S3_PATH").alias("S3_PATH"), F.count(F.lit(1)).alias("ROW_COUNT"))
+    return counts.select(
+        F.expr("uuid()").alias("EXPORT_ID"), "BATCH_ID", F.lit(datetime.now(timezone.utc)).alias("EXPORT_TIMESTAMP"),
+        "S3_PATH", "ROW_COUNT", F.lit(status).alias("STATUS"), F.lit(error).cast("string").alias("ERROR_MESSAGE"))

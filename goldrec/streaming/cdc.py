@@ -11,11 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from goldrec.operators.gates import new_batches
 from goldrec.schemas import GOLD
-from goldrec.streaming.ingest import LANDING, start
-from goldrec.streaming.snapshot import SnapshotTable
+from goldrec.streaming.ingest import LANDING, PACE, paced, start
+from goldrec.streaming.keyed import KeyedTable
 
 RUNS = T.StructType([
-    T.StructField("COMMIT_ID", T.StringType()),
+    T.StructField("COMMIT_ID", T.LongType()),
     T.StructField("STATE", T.StringType()),
     T.StructField("SOURCE_ROWS", T.LongType()),
     T.StructField("STARTED_AT", T.TimestampType()),
@@ -24,9 +24,9 @@ RUNS = T.StructType([
 ])
 
 
-def changes(spark: SparkSession, landing: str) -> DataFrame:
+def changes(spark: SparkSession, landing: str, pace: int = PACE) -> DataFrame:
     """Rows added to landing since the consuming query's checkpoint, as a stream."""
-    rows = spark.readStream.schema(LANDING).parquet(landing)
+    rows = paced(spark.readStream.schema(LANDING), pace).parquet(landing)
     return rows.filter("NOT REJECTED").select(*GOLD.names)
 
 
@@ -44,40 +44,45 @@ def pending_counts(landing: DataFrame, consumed: DataFrame | None) -> DataFrame:
 
 
 def has_data(landing: DataFrame, consumed: DataFrame | None) -> DataFrame:
-    """One row telling whether anything is pending; stops at the first pending row."""
-    first = pending(landing, consumed).select(F.lit(1).alias("_one")).limit(1)
-    return first.agg((F.count(F.lit(1)) > 0).alias("HAS_DATA"))
+    """One row telling whether anything is pending.
+
+    Only batch ids are read, and they are made distinct before they are compared.
+    """
+    batches = landing.select("BATCH_ID").filter("BATCH_ID IS NOT NULL").distinct()
+    if consumed is not None:
+        batches = batches.join(consumed.select("BATCH_ID").distinct(), "BATCH_ID", "left_anti")
+    return batches.agg((F.count(F.lit(1)) > 0).alias("HAS_DATA"))
 
 
 def run_upsert(
     spark: SparkSession,
     landing: str,
-    table: SnapshotTable,
+    table: KeyedTable,
     checkpoint: str,
     runs: str,
     every: str | None = None,
+    pace: int = PACE,
 ) -> StreamingQuery:
     """Merge pending landing rows into the table; without pending rows nothing runs.
 
-    A micro-batch that Spark repeats after a failure has the same commit id, which the
-    table has recorded, so it changes nothing.
+    A micro-batch that Spark repeats after a failure writes the same commit again. A table belongs
+    to one checkpoint, since the commits are numbered by it; 0 is left to a first load.
     """
 
-    def upsert(rows: DataFrame, epoch: int) -> None:
-        commit = f"{checkpoint}#{epoch}"
+    def merge(rows: DataFrame, epoch: int) -> None:
         started = datetime.now(timezone.utc)
         state, taken, error = "SUCCEEDED", 0, None
         try:
-            taken = table.merge(rows, commit)
+            taken = table.merge(rows, epoch + 1)
         except Exception as e:
             state, error = "FAILED", str(e)
             raise
         finally:
-            entry = (commit, state, taken, started, datetime.now(timezone.utc), error)
+            entry = (epoch + 1, state, taken, started, datetime.now(timezone.utc), error)
             log = spark.createDataFrame([entry], RUNS)
             log.coalesce(1).write.mode("append").parquet(runs)
 
-    return start(changes(spark, landing).writeStream.foreachBatch(upsert), checkpoint, every)
+    return start(changes(spark, landing, pace).writeStream.foreachBatch(merge), checkpoint, every)
 
 
 def run_history(spark: SparkSession, runs: str) -> DataFrame:

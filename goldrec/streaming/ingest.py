@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, DataStreamWriter, StreamingQuery
 
 from goldrec.schemas import BRONZE, GOLD
 from goldrec.sources.tables import conform
@@ -16,8 +20,24 @@ LANDING = T.StructType([
     T.StructField("ORIGINAL", T.StringType()),
     T.StructField("SOURCE_FILE", T.StringType()),
     T.StructField("LOADED_AT", T.TimestampType()),
+    T.StructField("LOAD", T.StringType()),
     T.StructField("REJECTED", T.BooleanType()),
 ])
+FILES = T.StructType([
+    T.StructField("FILE_PATH", T.StringType()),
+    T.StructField("ROWS", T.LongType()),
+    T.StructField("LOADED_AT", T.TimestampType()),
+    T.StructField("STATUS", T.StringType()),
+    T.StructField("REASON", T.StringType()),
+])
+LISTED = "path string, modificationTime timestamp, length long, content binary"
+
+PACE = 64 * 2**30  # bytes of input of one micro-batch; a backlog takes several, and nothing is left out
+KEEP = "3650d"  # a file staged late with an old time is still new
+
+
+def paced(reader: DataStreamReader, pace: int = PACE) -> DataStreamReader:
+    return reader.option("recursiveFileLookup", False).option("maxBytesPerTrigger", pace).option("maxFileAge", KEEP)
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -37,24 +57,16 @@ def ingest_files(
     checkpoint: str,
     multiline: bool = False,
     every: str | None = None,
+    pace: int = PACE,
 ) -> StreamingQuery:
     """Append new envelope files to the bronze table.
 
     ``multiline`` reads files that hold one JSON array; JSON Lines files need no option
-    and can be split. The table is partitioned by batch, which later steps select by.
+    and can be split. Later steps take bronze file by file, so it isn't partitioned.
     """
-    rows = (
-        spark.readStream.schema(BRONZE)
-        .option("multiLine", multiline)
-        .option("recursiveFileLookup", True)
-        .json(source)
-    )
-    writer = (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", bronze)
-        .partitionBy("BATCH_ID")
-    )
+    reader = paced(spark.readStream.schema(BRONZE), pace).option("multiLine", multiline)
+    rows = reader.option("recursiveFileLookup", True).json(source)
+    writer = rows.writeStream.format("parquet").outputMode("append").option("path", bronze)
     return start(writer, checkpoint, every)
 
 
@@ -62,6 +74,56 @@ def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     return spark.read.schema(BRONZE).parquet(bronze)
 
 
+def _load_group(spark: SparkSession, paths: list[str], folder: str, wire: T.StructType | None) -> DataFrame:
+    """Land the files together and tell what each gave; raises if they can't be read as one."""
+    reader = spark.read.schema(wire) if wire else spark.read.option("mergeSchema", True)
+    # file metadata has the path as an escaped URI, the list of files as the file system names it
+    named = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    rows = reader.parquet(*paths).withColumn("SOURCE_FILE", named)
+    checked = (
+        conform(rows, GOLD, carry=("SOURCE_FILE",))
+        .withColumn("LOADED_AT", F.current_timestamp())
+        .withColumn("REJECTED", F.size("FAILED_COLUMNS") > 0)
+    )
+    checked.hint("rebalance").write.mode("overwrite").partitionBy("REJECTED").parquet(folder)
+    landed = spark.read.schema(LANDING).parquet(folder)
+    return landed.groupBy(F.col("SOURCE_FILE").alias("FILE_PATH")).agg(
+        F.count(F.lit(1)).alias("ROWS"), F.max("LOADED_AT").alias("LOADED_AT"),
+        F.lit("LOADED").alias("STATUS"), F.lit(None).cast("string").alias("REASON"),
+    )
+
+
+def load_paths(
+    spark: SparkSession, paths: list[str], landing: str, load: str, wire_schema: T.StructType | None = None
+) -> None:
+    """Land staged files under the name ``load``; a file that can't be read is listed, not dropped.
+
+    Files are read together. A set that fails, for one corrupt file or for column types that don't
+    merge, is halved until its parts can be read or a single file is at fault. Such a file goes to
+    the audit with its path and the reason; calling this for its path again tries it anew.
+    """
+    work, done = [("", sorted(paths))], []
+    while work:
+        part, some = work.pop()
+        try:
+            done.append(_load_group(spark, some, f"{landing}/LOAD={load}{part}", wire_schema))
+        except (PySparkException, Py4JJavaError) as e:
+            if len(some) > 1:
+                half = len(some) // 2
+                work += [(f"{part}0", some[:half]), (f"{part}1", some[half:])]
+            else:
+                known = re.search(r"\[([A-Z_.]+)\]", str(e))
+                reason = known[1] if known else type(e).__name__
+                failed = spark.range(1).select(
+                    F.lit(some[0]).alias("FILE_PATH"), F.lit(0).cast("long").alias("ROWS"), F.current_timestamp().alias("LOADED_AT"),
+                    F.lit("UNREADABLE").alias("STATUS"), F.lit(reason).alias("REASON"))
+                done.append(failed)
+    audit = done[0]
+    for more in done[1:]:
+        audit = audit.unionByName(more)
+    audit.select(*FILES.names).coalesce(1).write.mode("overwrite").parquet(f"{landing}_files/LOAD={load}")
+
+
 def load_by_name(
     spark: SparkSession,
     staged: str,
@@ -69,36 +131,26 @@ def load_by_name(
     checkpoint: str,
     wire_schema: T.StructType | None = None,
     every: str | None = None,
+    pace: int = PACE,
 ) -> StreamingQuery:
     """Append new staged Parquet files to landing, columns matched by name.
 
-    Rows that do not cast are kept apart as rejects by partition, so one exactly-once sink
-    holds both. Files staged before the first run are loaded too, which makes a backfill
-    the same call. ``wire_schema`` gives the types as staged; by default the staged files
-    are asked for it, from their footers only.
+    The stream is of files, not of rows: each micro-batch lands its files in a folder of its own,
+    which a replay writes again. Rows that do not cast are kept apart as rejects by partition,
+    files that can't be read in the audit. Files staged before the first run are loaded too, which
+    makes a backfill the same call. ``wire_schema`` gives the types as staged; by default the
+    files of a micro-batch are asked for it, from their footers only. Its file names, bounded by
+    ``pace``, pass through the driver.
     """
-    wire = wire_schema or spark.read.options(
-        mergeSchema=True, recursiveFileLookup=True
-    ).parquet(staged).schema
-    rows = (
-        spark.readStream.schema(wire)
-        .option("recursiveFileLookup", True)
-        .parquet(staged)
-        .withColumn("SOURCE_FILE", F.col("_metadata.file_path"))
-    )
-    checked = (
-        conform(rows, GOLD, carry=("SOURCE_FILE",))
-        .withColumn("LOADED_AT", F.current_timestamp())
-        .withColumn("REJECTED", F.size("FAILED_COLUMNS") > 0)
-    )
-    writer = (
-        checked.select(*LANDING.names)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", landing)
-        .partitionBy("REJECTED")
-    )
-    return start(writer, checkpoint, every)
+    reader = paced(spark.readStream.format("binaryFile").schema(LISTED), pace)
+    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(staged).select("path")
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        paths = [r["path"] for r in batch.collect()]
+        if paths:
+            load_paths(spark, paths, landing, f"{epoch:012d}", wire_schema)
+
+    return start(files.writeStream.foreachBatch(load), checkpoint, every)
 
 
 def read_landing(spark: SparkSession, landing: str) -> DataFrame:
@@ -113,8 +165,5 @@ def read_rejects(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def loaded_files(spark: SparkSession, landing: str) -> DataFrame:
-    """Rows and time per loaded file: the audit that ``load_history`` takes."""
-    rows = spark.read.schema(LANDING).parquet(landing)
-    return rows.groupBy(F.col("SOURCE_FILE").alias("FILE_PATH")).agg(
-        F.count(F.lit(1)).alias("ROWS"), F.max("LOADED_AT").alias("LOADED_AT")
-    )
+    """One row per file and attempt: rows, time, status and reason. Written while loading."""
+    return spark.read.schema(FILES).parquet(f"{landing}_files").select(*FILES.names)
