@@ -86,7 +86,7 @@ def _count(*by: str, measure: str = "TOTAL_PROVIDERS", order: tuple[str, ...] |
 
 _RECORDS = partial(_count, measure="TOTAL_RECORDS")
 
-# The 35 analyst questions on the golden table.
+# The 35 analyst questions on the golden table. The measure names.
 ANALYST: Mapping[str, Report] = {
     "q01_total": total,
     "q02_status": _count("Status"),
@@ -192,7 +192,7 @@ def export_audit(log: DataFrame, batch_id: str | None = None) -> DataFrame:
     return rows.orderBy(F.desc_nulls_last("EXPORT_TIMESTAMP"), "BATCH_ID")
 
 
-# Columns each review sample shows, with the filter that selects its rows.
+# Columns each review sample shows, with the filter that selects its rows. The columns shown.
 REVIEWS = {
     "match": (
         "EXACT_MATCH_STATUS = 'MATCH'",
