@@ -6,20 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from goldrec.llm import bpe, jaccard, mixing, quality, suffix
-from goldrec.llm.common import short_batches, table, written
+from goldrec.llm.common import prepare, table, written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is above their language's threshold go."""
-    short_batches(spark)
+    prepare(spark)
     return quality.judge(docs, table(spark, sf_dir, "labels")).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least id stays; rows without id stay."""
-    short_batches(spark)
+    prepare(spark)
     groups = jaccard.near_duplicates(docs.where("doc_id is not null"))
     first = written(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
     stay = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -28,19 +28,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of strings that also start earlier go; what is left is the text."""
-    short_batches(spark)
+    prepare(spark)
     return suffix.deduplicated(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often, and as far, as the mix takes it."""
-    short_batches(spark)
+    prepare(spark)
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of what they decode to."""
-    short_batches(spark)
+    prepare(spark)
     return bpe.token_digests(docs, RANKS, public_tokenizers.PATTERN)
 
 

@@ -1,8 +1 @@
 """Operators for large training corpora. Nothing else in the library imports this package."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# Functions shipped to Python workers travel whole, so executors need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

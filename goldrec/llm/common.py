@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import json
+import shutil
+import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 from goldrec.session import scratch_dir
 
 BATCH_ROWS = 1_000
+_SHIPPED: set[str] = set()
 LOWEST = -(2**63 - 1)
 
 
@@ -18,13 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def short_batches(spark: SparkSession) -> None:
-    """Send at most BATCH_ROWS rows to Python at once in this session: texts are long rows.
+def prepare(spark: SparkSession) -> None:
+    """Ship this package to the executors, once, and send at most BATCH_ROWS rows to Python at once.
 
-    The default is ten thousand, which for texts of some kilobytes takes a task hundreds of
-    megabytes on either side.
+    Texts are long rows: the default of ten thousand takes a task hundreds of megabytes on either
+    side.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        root = Path(__file__).resolve().parents[2]
+        folder = tempfile.mkdtemp()  # the driver's own, until it ends; Spark hands the archive on
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/goldrec", "zip", root, "goldrec"))
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:

@@ -7,11 +7,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from goldrec.llm import bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk
-from goldrec.llm.common import short_batches, table
+from goldrec.llm.common import prepare, table
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short_batches(spark)
+    prepare(spark)
     return table(spark, sf_dir, "documents")
 
 
@@ -23,6 +23,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return topk.nearest(table(spark, sf_dir, "embeddings"))
 
 

@@ -1,6 +1,6 @@
 import pytest
 
-from goldrec.llm.common import table
+from goldrec.llm.common import prepare, table
 
 DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that the operators use inside.
@@ -9,6 +9,11 @@ CLASHING = ["row", "doc", "size", "digest", "start", "bucket", "slot", "arc", "r
 LONG = "word " * 9_000 + "x" * 3_000 + " and\n\n  more 'll 123 " * 900
 
 
+@pytest.fixture(scope="session", autouse=True)
+def prepared_session(spark):
+    prepare(spark)
+
+
 @pytest.fixture(scope="session")
 def documents(spark, sf):
     return table(spark, sf, "documents")
