@@ -316,7 +316,8 @@ def judged(documents: DataFrame, length: int = LENGTH, most: int = PIECE) -> Dat
     number = F.col("h").bitwiseXOR(F.col("c").cast("long").bitwiseAND(F.lit(0x7FFFFFFF)))
     wanted = known.where("open").groupBy("doc").agg(F.collect_set(number).alias("wanted"))
     open_ = written(covers(texts.join(wanted, "doc"), length, most), "covers")
-    crowds = open_.groupBy("h").count().where(F.col("count") > CROWD).select("h")
+    # written, so that its length is known before the joins: few k-grams have so many covers
+    crowds = written(open_.groupBy("h").count().where(F.col("count") > CROWD).select("h"), "crowds")
     met = met_strings(open_.join(crowds, "h", "left_anti"), length).unionByName(
         crowded_strings(open_.join(crowds, "h", "left_semi"), length))
 
