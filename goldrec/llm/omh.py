@@ -62,10 +62,8 @@ def signature(text: str, k: int = K, bits: int = BITS, take: int = TAKE) -> str:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     h = kmer_hashes(points, k)
     n = len(h)
-    low = U(max(1, (n - 1).bit_length()))
-    order = np.sort((h >> low << low) | np.arange(n, dtype=U))  # by k-mer, then by place
-    at = order & ((U(1) << low) - U(1))
-    kmer = order >> low
+    at = np.argsort(h, kind="stable")  # by k-mer, then by place; all bits of the hash, so that texts of any length compare
+    kmer = h[at]
     fresh = np.empty(n, bool)
     fresh[0] = True
     np.not_equal(kmer[1:], kmer[:-1], out=fresh[1:])

@@ -74,3 +74,38 @@ def test_odd_rows(spark, odd, clashing, empty):
     one = omh.edit_likeness(spark.createDataFrame([(1, "alone here")], "doc_id int, text string")).first()
     assert one["near_next"] == 1 and one["n_chars"] == 10
     assert found(omh.fingerprints(odd)) == sorted(((r[0], r[3]) for r in rows), key=lambda r: [(x is None, str(x)) for x in r])
+
+
+def test_likeness_doesnt_turn_at_a_number_of_kmers():
+    """1,024 and 1,025 k-mers, one inserted character apart; so are 1,023 and 1,024."""
+    rng = np.random.default_rng(1)
+    text = "".join(rng.choice(list("abcdefgh"), 1_025 + omh.K - 1))
+    for n in (1_023, 1_024):
+        one = text[:n + omh.K - 1]
+        other = one[:500] + "x" + one[500:]
+        assert omh.likeness(omh.signature(one), omh.signature(other)) > 0.8
+
+
+def brute_with_whole_hashes(text, k=omh.K, bits=omh.BITS, take=omh.TAKE):
+    """As brute_signature, but a k-mer's hash keeps all its bits, however many k-mers there are."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    size, mask = min(k, len(points)), 2**64 - 1
+    seen, bins = {}, [[] for _ in range(1 << bits)]
+    for i in range(len(points) - size + 1):
+        h = int(omh.kmer_hashes(points[i:i + size], size)[0])
+        nth = seen[h] = seen.get(h, -1) + 1
+        value = int(omh._mix(np.array([(h * 0x9E3779B97F4A7C15 + nth * 0xC2B2AE3D27D4EB4F) & mask], np.uint64))[0])
+        bins[value >> (64 - bits)].append((value, i))
+    out = []
+    for found_ in bins:
+        names = [x[0] for x in sorted(sorted(found_)[:take], key=lambda x: x[1])]
+        digest = 0
+        for name in names + [0] * (take - len(names)):
+            digest = int(omh._mix(np.array([(digest * 0xFF51AFD7ED558CCD + name + 1) & mask], np.uint64))[0])
+        out.append(f"{digest >> 32:08x}" if names else omh.BLANK)
+    return "".join(out)
+
+
+@pytest.mark.parametrize("text", ["a", "abc", "aaaaaaaaaaaaaaaaaaaa", "the cat " * 40, "é漢🙂" * 30, "".join(chr(97 + i * i % 26) for i in range(900))])
+def test_equals_brute_force_with_whole_hashes(text):
+    assert omh.signature(text) == brute_with_whole_hashes(text)
