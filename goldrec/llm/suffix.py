@@ -83,13 +83,13 @@ def anchor_rows(documents: DataFrame, length: int, most: int) -> DataFrame:
         for batch in batches:
             ids = batch.column("doc").to_numpy()
             for piece in pieces(batch.column("text"), length, most):
-                text, h, c = piece.text, piece.h, (piece.c >> U(33)).astype(np.int32)
+                text, h, c = piece.text, piece.h, piece.c.view(np.int64)
                 if len(h):
                     _, once = np.unique(piece.key * U(31) + mix(text.astype(U)), return_index=True)
                     yield pa.RecordBatch.from_arrays([pa.array(h[once].view(np.int64)), pa.array(c[once]), pa.array(ids[text[once]])],
                                                      names=["h", "c", "doc"])
 
-    return documents.select("doc", "text").mapInArrow(run, "h long, c int, doc long")
+    return documents.select("doc", "text").mapInArrow(run, "h long, c long, doc long")
 
 
 def ranked(rows: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def ranked(rows: DataFrame) -> DataFrame:
     def run(batches):
         last, held, crowded = None, None, True  # the row before; a k-gram's only first so far; has its k-gram more
         for batch in batches:
-            rows_ = np.empty(batch.num_rows, [("h", np.int64), ("c", np.int32), ("doc", np.int64)])
+            rows_ = np.empty(batch.num_rows, [("h", np.int64), ("c", np.int64), ("doc", np.int64)])
             for name in rows_.dtype.names:
                 rows_[name] = batch.column(name).to_numpy()
             again = np.zeros(len(rows_), bool)  # parts of a long text may each have an anchor
@@ -157,7 +157,7 @@ def ranked(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield batch_of(held, True)  # may go on in the next range
 
-    return ordered.mapInArrow(run, "doc long, h long, c int, open boolean")
+    return ordered.mapInArrow(run, "doc long, h long, c long, open boolean")
 
 
 def covers(documents: DataFrame, length: int, most: int) -> DataFrame:
@@ -170,7 +170,7 @@ def covers(documents: DataFrame, length: int, most: int) -> DataFrame:
                 text = piece.text
                 if not len(text):
                     continue
-                numbers = (piece.h ^ (piece.c >> U(33))).view(np.int64)
+                numbers = (piece.h ^ piece.c).view(np.int64)
                 want = np.zeros(len(text), bool)
                 edges = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
                 for a, b in zip(edges, np.append(edges[1:], len(text))):
@@ -272,7 +272,7 @@ def _remove(texts: pa.Array, settled: list, spans: list, length: int, most: int)
         text, strings = piece.text, piece.strings
         base = int(offsets[piece.first]) + piece.shift
         first, last = strings.start[piece.begin] + base, strings.start[piece.end] + base
-        numbers = (piece.h ^ (piece.c >> U(33))).view(np.int64)
+        numbers = (piece.h ^ piece.c).view(np.int64)
         gone = np.zeros(len(text), bool)
         edges = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
         for a, b in zip(edges, np.append(edges[1:], len(text))):
@@ -313,7 +313,7 @@ def judged(documents: DataFrame, length: int = LENGTH, most: int = PIECE) -> Dat
     texts = rows.select("doc", "text")
     known = written(ranked(anchor_rows(texts, length, most)), "ranks")
 
-    number = F.col("h").bitwiseXOR(F.col("c").cast("long").bitwiseAND(F.lit(0x7FFFFFFF)))
+    number = F.col("h").bitwiseXOR(F.col("c"))
     wanted = known.where("open").groupBy("doc").agg(F.collect_set(number).alias("wanted"))
     open_ = written(covers(texts.join(wanted, "doc"), length, most), "covers")
     # written, so that its length is known before the joins: few k-grams have so many covers

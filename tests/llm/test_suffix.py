@@ -1,5 +1,7 @@
 import hashlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from goldrec.llm import suffix
@@ -56,3 +58,24 @@ def test_documents_with_what_stays(odd, clashing):
     left = {r["doc_id"]: r for r in suffix.deduplicated(odd).collect()}
     assert left[6]["text"] == " but not quite" and left[6]["n_chars"] == 14 and left[5]["text"] == ""
     assert suffix.deduplicated(clashing).columns == clashing.columns
+
+
+def test_covers_that_agree_in_31_bits_only(spark):
+    """Of 200,000 texts of 100 bytes around one k-gram, two whose cover hashes begin alike: nothing repeats."""
+    rng = np.random.default_rng(0)
+    lines = rng.integers(97, 123, (100_000, 24), np.uint8)
+    gram = suffix.Strings(lines.ravel(), np.arange(0, lines.size + 1, lines.size), 100).gram[::24]
+    line = lines[np.argmin(gram)].tobytes()  # is the anchor of nearly every string it is in
+    seen, pair = {}, None
+    for _ in range(40):
+        texts = [line + rest.tobytes() for rest in rng.integers(97, 123, (10_000, 76), np.uint8)]
+        for piece in suffix.pieces(pa.array([x.decode() for x in texts]), 100, 1 << 20):
+            for h, c, i in zip(piece.h.tolist(), (piece.c >> suffix.U(33)).tolist(), piece.text.tolist()):
+                if pair is None and (h, c) in seen:
+                    pair = (seen[h, c], texts[i].decode())
+                seen[h, c] = texts[i].decode()
+        if pair:
+            break
+    rows = list(enumerate(pair))
+    got = suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_removed").collect()
+    assert pair[0] != pair[1] and sorted(map(tuple, got)) == [(0, 0), (1, 0)]
