@@ -5,7 +5,10 @@ the slots of a source are ranked, and rank r takes the r-th block of that source
 stream is the source's documents in hash order, cut into blocks of equally many words, and runs
 twice, in a new order the second time. So any stretch of the mix has the wanted shares.
 
-The number of slots is a parameter and doesn't grow with the data; the block size does. Places in
+The number of slots is a parameter and doesn't grow with the data; the block size does. What a
+source takes doesn't depend on it: it has as many slots as its target fills, the last of them in
+part. Points that a source has too many go unused, those that it lacks (a few per source) follow at
+the end of the mix. Each source with words takes its target, rounded, and one word at least. Places in
 a stream are sums over hash buckets plus a running sum within a bucket, so a source of any size is
 spread over ``BUCKETS`` groups.
 
@@ -78,9 +81,14 @@ def streams(documents: DataFrame, passes: int = MOST) -> DataFrame:
             .withColumn("offset", F.col("ahead") + F.col("running")).drop("s", "p", "b", "ahead", "running", "order", "bucket"))
 
 
-def schedule(goals: DataFrame, slots: int = SLOTS) -> DataFrame:
+def words_wanted() -> Column:
+    """The words that a source takes: its target, rounded, and one at least; 0 without a target."""
+    return F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long")
+
+
+def schedule(goals: DataFrame, slots: int | None = None) -> DataFrame:
     """slot, source, rank (of the slot within its source), block (words): the mix, in order."""
-    spark = goals.sparkSession
+    spark, slots = goals.sparkSession, slots or SLOTS
     ordered = Window.orderBy(F.col("source").isNull(), "source")
     total = F.sum("target").over(Window.partitionBy())
     shares = goals.where("target > 0").select(
@@ -94,9 +102,17 @@ def schedule(goals: DataFrame, slots: int = SLOTS) -> DataFrame:
         F.floor(F.col("above") * cells).cast("int"), F.least(F.floor(F.col("upto") * cells), F.lit(cells - 1)).cast("int"))).alias("cell"))
     points = spark.range(slots).select("id", point.alias("point"), F.floor(point * cells).cast("int").alias("cell"))
     hit = points.join(shares, "cell").where((F.col("id") < F.col("total")) & (F.col("point") >= F.col("above")) & (F.col("point") < F.col("upto")))
-    return hit.select(F.col("id").alias("slot"), "source",
-                      F.row_number().over(Window.partitionBy("source").orderBy("id")).cast("long").alias("rank"),
-                      F.greatest(F.lit(1.0), F.col("total") / slots).alias("block"))
+    hit = hit.select(F.col("id").alias("slot"), "source", F.row_number().over(Window.partitionBy("source").orderBy("id")).cast("long").alias("rank"))
+    block = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / slots)
+    needs = goals.where("target > 0").select(F.col("source").alias("s"), block.alias("block"), words_wanted().alias("wanted"))
+    # blocks that begin before the last wanted word
+    needs = needs.withColumn("need", F.floor((F.col("wanted") - 1) / F.col("block")) + 1)
+    own = hit.join(needs, F.col("source").eqNullSafe(F.col("s"))).where("rank <= need").select("slot", "source", "rank", "block")
+    have = hit.groupBy("source").agg(F.count("*").alias("have"))
+    lacking = needs.join(have, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < need")
+    lacking = lacking.select(F.col("s").alias("source"), F.explode(F.sequence(F.col("have") + 1, F.col("need"))).alias("rank"), "block")
+    at = F.row_number().over(Window.orderBy("rank", F.col("source").isNull(), "source"))
+    return own.unionByName(lacking.select((at - 1 + slots).cast("long").alias("slot"), "source", "rank", "block"))
 
 
 def prepared(documents: DataFrame, *keep: str) -> DataFrame:
@@ -104,17 +120,18 @@ def prepared(documents: DataFrame, *keep: str) -> DataFrame:
                             F.xxhash64("text").alias("digest"), *keep)
 
 
-def mixture(rows: DataFrame, slots: int = SLOTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+def mixture(rows: DataFrame, slots: int | None = None, share: float = SHARE, most: int = MOST) -> DataFrame:
     """The mix: rows as :func:`prepared` makes them, with source_size, target, pass, slot, taken.
 
     A document meets the blocks that its words lie in, and each block its slot: one row for each
     slot that takes words of the document in that pass, in all passes a leading part of it. Slot is
     null and taken 0 where the schedule ends before the document.
     """
+    slots = slots or SLOTS
     goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, most)
     plan = schedule(goals, slots).select("slot", F.col("source").alias("s"), F.col("rank") - 1, "block").toDF("slot", "s", "nth", "b")
     block = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / slots)
-    goals = goals.select(F.col("source").alias("g"), "source_size", "target", block.alias("block"))
+    goals = goals.select(F.col("source").alias("g"), "source_size", "target", block.alias("block"), words_wanted().alias("wanted"))
     placed = streams(rows, most).join(goals, F.col("source").eqNullSafe(F.col("g"))).drop("g")
     first = F.greatest(F.floor(F.col("offset") / F.col("block")) - 1, F.lit(0))
     last = F.floor((F.col("offset") + F.col("size")) / F.col("block")) + 1
@@ -123,9 +140,12 @@ def mixture(rows: DataFrame, slots: int = SLOTS, share: float = SHARE, most: int
     words = (F.least(F.col("offset") + F.col("size"), edge(F.col("nth_block") + 1))
              - F.greatest("offset", edge(F.col("nth_block"))))
     pieces = pieces.withColumn("words", words).where("words > 0 or size = 0")
+    # the last block of a source is taken in part
+    over = F.greatest(F.lit(0), F.least(F.col("offset") + F.col("size"), edge(F.col("nth_block") + 1)) - F.col("wanted"))
+    left = F.greatest(F.lit(0), F.col("words") - over)
     met = pieces.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("nth_block") == F.col("nth")), "left")
     return met.select(*rows.columns, "source_size", "target", "pass", "slot",
-                      F.when(F.col("slot").isNull(), 0).otherwise(F.col("words")).cast("long").alias("taken"))
+                      F.when(F.col("slot").isNull(), 0).otherwise(left).cast("long").alias("taken"))
 
 
 def takes(documents: DataFrame, label: str = "mix") -> DataFrame:

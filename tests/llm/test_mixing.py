@@ -78,3 +78,23 @@ def test_odd_rows(odd, clashing, empty):
     assert found(mixing.mix_report(clashing)) == rows
     assert mixing.mixed_documents(clashing).columns == clashing.columns
     assert mixing.mix_report(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
+
+
+@pytest.mark.parametrize("slots", [mixing.SLOTS, 64])
+def test_each_of_many_tiny_sources_takes_its_target(spark, slots):
+    """One huge source and 60 of less than a block; and a null one."""
+    words = [("huge", i, 2_000) for i in range(50)] + [(f"s{i:02}", 100 + i, 3 + i) for i in range(60)] + [(None, 200, 7)]
+    docs = spark.createDataFrame([(i, "w " * n, s) for s, i, n in words], "doc_id long, text string, source string")
+    rows = mixing.mixture(mixing.prepared(docs), slots=slots)
+    got = rows.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.countDistinct("doc_id").alias("docs")).collect()
+    assert len(got) == 62 and sum(r["docs"] for r in got) == len(words)
+    for r in got:
+        assert r["target"] > 0 and r["taken"] > 0 and abs(r["taken"] - r["target"]) <= 1
+    per = rows.groupBy("doc_id", "pass").agg(F.sum("taken").alias("taken"), F.first("size").alias("size")).collect()
+    assert all(0 <= r["taken"] <= r["size"] for r in per)
+
+
+def test_slots_can_be_set(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 500)
+    goals = spark.createDataFrame([("a", 9_000, 9_000.0), ("b", 1_000, 1_000.0)], "source string, source_size long, target double")
+    assert mixing.schedule(goals).count() == 500
