@@ -20,7 +20,8 @@ have it at the same place. The rounds:
 3. Repeats within one document are found in its own task.
 
 Null texts are empty. A row without an id comes after all others. Rows that share an id aren't
-earlier than each other. Other columns are ignored.
+earlier than each other; what is found in one is kept for its own text, by a digest beside the id.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -77,38 +78,39 @@ def pieces(texts: pa.Array, length: int, most: int):
 
 
 def anchor_rows(documents: DataFrame, length: int, most: int) -> DataFrame:
-    """h, c, doc: each document's anchors, equal ones once."""
+    """h, c, doc, digest: each document's anchors, equal ones once."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
+            ids, digests = batch.column("doc").to_numpy(), batch.column("digest").to_numpy()
             for piece in pieces(batch.column("text"), length, most):
                 text, h, c = piece.text, piece.h, piece.c.view(np.int64)
                 if len(h):
                     _, once = np.unique(piece.key * U(31) + mix(text.astype(U)), return_index=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(h[once].view(np.int64)), pa.array(c[once]), pa.array(ids[text[once]])],
-                                                     names=["h", "c", "doc"])
+                    yield pa.RecordBatch.from_arrays([pa.array(h[once].view(np.int64)), pa.array(c[once]), pa.array(ids[text[once]]), pa.array(digests[text[once]])],
+                                                     names=["h", "c", "doc", "digest"])
 
-    return documents.select("doc", "text").mapInArrow(run, "h long, c long, doc long")
+    return documents.select("doc", "digest", "text").mapInArrow(run, "h long, c long, doc long, digest long")
 
 
 def ranked(rows: DataFrame) -> DataFrame:
-    """doc, h, c, open: anchors met elsewhere. False for settled ones, true where strings must be compared.
+    """doc, digest, h, c, open: anchors met elsewhere. False for settled ones, true where strings must be compared.
 
     Rows come sorted by k-gram, cover and document, in ranges, so a frequent k-gram is spread over
-    tasks. What a range's ends can't tell stays open, which is always right.
+    tasks. A cover is settled if one document with it is of smaller id, not of the same. What a range's ends can't tell stays open, which is always right.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "h", "c", "doc").sortWithinPartitions("h", "c", "doc")
+    ordered = rows.repartitionByRange(parts, "h", "c", "doc", "digest").sortWithinPartitions("h", "c", "doc", "digest")
 
     def batch_of(rows_, is_open):
-        return pa.RecordBatch.from_arrays([pa.array(rows_["doc"]), pa.array(rows_["h"]), pa.array(rows_["c"]), pa.array(np.full(len(rows_), is_open))],
-                                          names=["doc", "h", "c", "open"])
+        return pa.RecordBatch.from_arrays([*(pa.array(rows_[x]) for x in ("doc", "digest", "h", "c")), pa.array(np.full(len(rows_), is_open))],
+                                          names=["doc", "digest", "h", "c", "open"])
 
     def run(batches):
+        least = None  # the first document of the cover of the row before
         last, held, crowded = None, None, True  # the row before; a k-gram's only first so far; has its k-gram more
         for batch in batches:
-            rows_ = np.empty(batch.num_rows, [("h", np.int64), ("c", np.int64), ("doc", np.int64)])
+            rows_ = np.empty(batch.num_rows, [("h", np.int64), ("c", np.int64), ("doc", np.int64), ("digest", np.int64)])
             for name in rows_.dtype.names:
                 rows_[name] = batch.column(name).to_numpy()
             again = np.zeros(len(rows_), bool)  # parts of a long text may each have an anchor
@@ -127,9 +129,15 @@ def ranked(rows: DataFrame) -> DataFrame:
                 new_h[0], new_c[0] = False, last["c"] != c[0]
             elif last is not None:
                 held, crowded = None, False  # the k-gram before had one cover alone
-            settled = rows_[~new_c]
+            begin = np.maximum.accumulate(np.where(new_c, np.arange(len(h)), -1))
+            lowest = np.where(begin < 0, least if least is not None else 0, rows_["doc"][np.maximum(begin, 0)])
+            least = lowest[-1]
+            settled = rows_[~new_c & (rows_["doc"] > lowest)]
             if len(settled):
                 yield batch_of(settled, False)
+            same_id = rows_[~new_c & (rows_["doc"] == lowest)]  # other texts of the first id may differ from other covers
+            if len(same_id):
+                yield batch_of(same_id, True)
             group = np.cumsum(new_h)  # 0: goes on from the batch before
             if last is not None and not new_h[0]:
                 group_of_last = 0
@@ -157,15 +165,15 @@ def ranked(rows: DataFrame) -> DataFrame:
         if held is not None:
             yield batch_of(held, True)  # may go on in the next range
 
-    return ordered.mapInArrow(run, "doc long, h long, c long, open boolean")
+    return ordered.mapInArrow(run, "doc long, digest long, h long, c long, open boolean")
 
 
 def covers(documents: DataFrame, length: int, most: int) -> DataFrame:
-    """h, doc, at, n, cover: the strings of a document's open anchors (``wanted``: their numbers)."""
+    """h, doc, digest, at, n, cover: the strings of a document's open anchors (``wanted``: their numbers)."""
 
     def run(batches):
         for batch in batches:
-            ids, wanted = batch.column("doc").to_numpy(), batch.column("wanted").to_pylist()
+            ids, digests, wanted = batch.column("doc").to_numpy(), batch.column("digest").to_numpy(), batch.column("wanted").to_pylist()
             for piece in pieces(batch.column("text"), length, most):
                 text = piece.text
                 if not len(text):
@@ -182,10 +190,10 @@ def covers(documents: DataFrame, length: int, most: int) -> DataFrame:
                 inside = start - piece.offsets[piece.strings.text[piece.begin[at]]] + piece.shift
                 cover = [piece.data[a:b + length].tobytes() for a, b in zip(start, stop)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(piece.h[at].view(np.int64)), pa.array(ids[text[at]]), pa.array(inside), pa.array(stop - start + 1), pa.array(cover, pa.binary())],
-                    names=["h", "doc", "at", "n", "cover"])
+                    [pa.array(piece.h[at].view(np.int64)), pa.array(ids[text[at]]), pa.array(digests[text[at]]), pa.array(inside), pa.array(stop - start + 1), pa.array(cover, pa.binary())],
+                    names=["h", "doc", "digest", "at", "n", "cover"])
 
-    return documents.select("doc", "text", "wanted").mapInArrow(run, "h long, doc long, at long, n long, cover binary")
+    return documents.select("doc", "digest", "text", "wanted").mapInArrow(run, "h long, doc long, digest long, at long, n long, cover binary")
 
 
 def _string_ranks(cover: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,25 +204,26 @@ def _string_ranks(cover: pa.Array, length: int) -> tuple[np.ndarray, np.ndarray]
     return strings.keys(strings.start), strings.text
 
 
-def _spans(docs: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-    """doc, first, last: runs of neighbouring places."""
+def _spans(docs: np.ndarray, digests: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    """doc, digest, first, last: runs of neighbouring places."""
     fresh = np.ones(len(docs), bool)
-    fresh[1:] = (docs[1:] != docs[:-1]) | (starts[1:] != starts[:-1] + 1)
+    fresh[1:] = (docs[1:] != docs[:-1]) | (digests[1:] != digests[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(docs)) - 1
-    return pa.RecordBatch.from_arrays([pa.array(docs[first]), pa.array(starts[first]), pa.array(starts[last])], names=["doc", "first", "last"])
+    return pa.RecordBatch.from_arrays([pa.array(docs[first]), pa.array(digests[first]), pa.array(starts[first]), pa.array(starts[last])],
+                                      names=["doc", "digest", "first", "last"])
 
 
 def met_strings(rows: DataFrame, length: int) -> DataFrame:
-    """doc, first, last: strings of the covers that an earlier document has under the same k-gram."""
-    ordered = rows.repartition("h").sortWithinPartitions("h", "doc", "at")
+    """doc, digest, first, last: strings of the covers that an earlier document has under the same k-gram."""
+    ordered = rows.repartition("h").sortWithinPartitions("h", "doc", "digest", "at")
 
     def run(batches):
         seen, owner, held = np.zeros(0, U), np.zeros(0, np.int64), None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            h, doc, at = (batch.column(x).to_numpy() for x in ("h", "doc", "at"))
+            h, doc, digest, at = (batch.column(x).to_numpy() for x in ("h", "doc", "digest", "at"))
             rank, of = _string_ranks(batch.column("cover"), length)
             # only strings of the k-gram that goes on from the batch before can be known already
             same = mix(h.view(U))[of] + rank
@@ -229,14 +238,14 @@ def met_strings(rows: DataFrame, length: int) -> DataFrame:
             least[order] = owners[order[np.maximum.accumulate(np.where(begins, np.arange(len(order)), 0))]]
             dup = np.flatnonzero(least[old:] < own)
             if len(dup):
-                yield _spans(own[dup], start[dup])
+                yield _spans(own[dup], digest[of][dup], start[dup])
             end = h[-1]
             keep = np.concatenate([np.full(old, end == h[0]), h[of] == end])
             first_of = np.zeros(len(order), bool)
             first_of[order[begins]] = True
             seen, owner, held = ranks[keep & first_of], owners[keep & first_of], end
 
-    return ordered.select("h", "doc", "at", "cover").mapInArrow(run, "doc long, first long, last long")
+    return ordered.select("h", "doc", "digest", "at", "cover").mapInArrow(run, "doc long, digest long, first long, last long")
 
 
 def crowded_strings(rows: DataFrame, length: int) -> DataFrame:
@@ -247,12 +256,12 @@ def crowded_strings(rows: DataFrame, length: int) -> DataFrame:
             if batch.num_rows:
                 rank, of = _string_ranks(batch.column("cover"), length)
                 start = batch.column("at").to_numpy()[of] + np.arange(len(of)) - np.searchsorted(of, of)
-                yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), pa.array(batch.column("doc").to_numpy()[of]), pa.array(start)],
-                                                 names=["rank", "doc", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(rank.view(np.int64)), *(pa.array(batch.column(x).to_numpy()[of]) for x in ("doc", "digest")), pa.array(start)],
+                                                 names=["rank", "doc", "digest", "at"])
 
-    strings = rows.select("doc", "at", "cover").mapInArrow(run, "rank long, doc long, at long")
+    strings = rows.select("doc", "digest", "at", "cover").mapInArrow(run, "rank long, doc long, digest long, at long")
     least = strings.groupBy("rank").agg(F.min("doc").alias("least"))
-    return strings.join(least, "rank").where("doc > least").select("doc", F.col("at").alias("first"), F.col("at").alias("last"))
+    return strings.join(least, "rank").where("doc > least").select("doc", "digest", F.col("at").alias("first"), F.col("at").alias("last"))
 
 
 def _remove(texts: pa.Array, settled: list, spans: list, length: int, most: int):
@@ -309,26 +318,27 @@ def _later(rank: np.ndarray, place: np.ndarray, drop) -> None:
 
 def judged(documents: DataFrame, length: int = LENGTH, most: int = PIECE) -> DataFrame:
     """Each row as struct ``row``, with n_bytes, n_removed, n_spans and kept, the bytes that stay."""
-    rows = documents.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
-    texts = rows.select("doc", "text")
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
+                            F.xxhash64("text").alias("digest"))
+    own = ["doc", "digest"]  # of a row; equal rows share what is found
+    texts = rows.select(*own, "row.text")
     known = written(ranked(anchor_rows(texts, length, most)), "ranks")
 
     number = F.col("h").bitwiseXOR(F.col("c"))
-    wanted = known.where("open").groupBy("doc").agg(F.collect_set(number).alias("wanted"))
-    open_ = written(covers(texts.join(wanted, "doc"), length, most), "covers")
+    wanted = known.where("open").groupBy(*own).agg(F.collect_set(number).alias("wanted"))
+    open_ = written(covers(texts.join(wanted, own), length, most), "covers")
     # written, so that its length is known before the joins: few k-grams have so many covers
     crowds = written(open_.groupBy("h").count().where(F.col("count") > CROWD).select("h"), "crowds")
     met = met_strings(open_.join(crowds, "h", "left_anti"), length).unionByName(
         crowded_strings(open_.join(crowds, "h", "left_semi"), length))
 
     notes = (
-        known.where("not open").select("doc", number.alias("settled"), F.lit(None).cast("struct<first:bigint,last:bigint>").alias("span"))
-        .unionByName(met.select("doc", F.lit(None).cast("long").alias("settled"), F.struct("first", "last").alias("span")))
-        .groupBy("doc").agg(F.collect_set("settled").alias("settled"), F.collect_list("span").alias("spans"))
+        known.where("not open").select(*own, number.alias("settled"), F.lit(None).cast("struct<first:bigint,last:bigint>").alias("span"))
+        .unionByName(met.select(*own, F.lit(None).cast("long").alias("settled"), F.struct("first", "last").alias("span")))
+        .groupBy(*own).agg(F.collect_set("settled").alias("settled"), F.collect_set("span").alias("spans"))
     )
-    kept = documents.columns
-    joined = rows.join(notes, "doc", "left").select(
-        F.struct(*kept).alias("row"), F.coalesce("settled", F.array()).alias("settled"), F.coalesce("spans", F.array()).alias("spans"))
+    joined = rows.join(notes, own, "left").select(
+        "row", F.coalesce("settled", F.array()).alias("settled"), F.coalesce("spans", F.array()).alias("spans"))
     schema = joined.select("row", *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.lit(b"").alias("kept")).schema
 
     def run(batches):

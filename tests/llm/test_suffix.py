@@ -79,3 +79,23 @@ def test_covers_that_agree_in_31_bits_only(spark):
     rows = list(enumerate(pair))
     got = suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_removed").collect()
     assert pair[0] != pair[1] and sorted(map(tuple, got)) == [(0, 0), (1, 0)]
+
+
+@pytest.mark.parametrize("id_", [None, 9])
+@pytest.mark.parametrize("crowd", [4096, 2])
+def test_texts_that_share_an_id(spark, monkeypatch, id_, crowd):
+    """Two long texts of one id or none, which repeat earlier passages at different places, and a third that only its like has."""
+    monkeypatch.setattr(suffix, "CROWD", crowd)
+    rng = np.random.default_rng(0)
+    a, b, c, d = ("".join(rng.choice(list("abcdefghijklmnop "), 400)) for _ in range(4))
+    texts = [c[:150] + a[100:300], d + "-" + b[50:390] + c[:20], "q" + b[60:180] + "r" + d, d[:250], a[3:140]]
+    rows = [(1, a), (2, b), *((id_, t) for t in texts)]
+    got = suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("text", "n_removed", "kept").collect()
+    assert len(got) == len(rows)
+    earlier = {x[i:i + 100] for x in (a, b) for i in range(301)}
+    for r in got:
+        gone = [False] * len(r["text"])
+        for i in range(len(r["text"]) - 99):
+            if r["text"][i:i + 100] in earlier and r["text"] not in (a, b):
+                gone[i:i + 100] = [True] * 100
+        assert r["n_removed"] == sum(gone) and bytes(r["kept"]).decode() == "".join(x for x, g in zip(r["text"], gone) if not g)
