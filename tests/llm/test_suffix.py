@@ -76,9 +76,10 @@ def test_covers_that_agree_in_31_bits_only(spark):
                 seen[h, c] = texts[i].decode()
         if pair:
             break
-    rows = list(enumerate(pair))
+    others = [x.tobytes().decode() for x in rng.integers(97, 123, (200, 100), np.uint8)]  # so that both are in one range
+    rows = list(enumerate([*pair, *others]))
     got = suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "n_removed").collect()
-    assert pair[0] != pair[1] and sorted(map(tuple, got)) == [(0, 0), (1, 0)]
+    assert pair[0] != pair[1] and sorted(map(tuple, got)) == [(i, 0) for i in range(len(rows))]
 
 
 @pytest.mark.parametrize("id_", [None, 9])
