@@ -6,7 +6,9 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldrec.llm import bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk
+from goldrec.llm import (
+    alignment, bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk, toxicity, trie,
+)
 from goldrec.llm.common import prepare, table
 
 
@@ -16,6 +18,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +62,21 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return omh.edit_likeness(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return trie.prefix_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digests(documents(spark, sf_dir), BYTE_LEVEL, PIECES, public_tokenizers.PATTERN)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_top_k, op3_quality, op4_jaccard_join, op5_suffix_dedup, op6_bpe, op7_sharding, op8_mixing, op9_licences, op10_order_minhash)}
+    op1_language_id, op2_top_k, op3_quality, op4_jaccard_join, op5_suffix_dedup, op6_bpe, op7_sharding, op8_mixing, op9_licences, op10_order_minhash,
+    op11_prefix_trie, op12_alignment, op13_toxicity)}
 
 ORACLES: dict[str, str] = {}
