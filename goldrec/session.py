@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "goldrec", **conf: str) -> SparkSession:
@@ -42,5 +43,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Even out a file scan before CPU-heavy work: a large row group is one scan task."""
-    return scan.hint("rebalance")
+    """Deal the rows of a file scan to all task slots before CPU-heavy work: a row group is one scan task.
+
+    Adaptive execution leaves an explicit number of partitions alone. Rows are dealt by a hash of
+    their content, so that a task that is run again gets the same ones.
+    """
+    tasks = int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scan.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in scan.columns]))
