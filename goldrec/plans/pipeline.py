@@ -23,7 +23,7 @@ from goldrec.plans.marts import build_models
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, SILVER
 from goldrec.sources.export import export_pending, log_export
 from goldrec.streaming.cdc import run_upsert
-from goldrec.streaming.ingest import KEEP, PACE, ingest_files, load_by_name, start
+from goldrec.streaming.ingest import PACE, ingest_files, load_by_name, paced, start
 from goldrec.streaming.keyed import KeyedTable
 
 EPOCH = T.StructField("EPOCH", T.LongType())
@@ -65,12 +65,13 @@ def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
 
 
 def each_epoch(
-    spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, step: Callable[[DataFrame, int], None]
+    spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, step: Callable[[DataFrame, int], None],
+    pace: int | None = None,
 ) -> None:
-    """Run ``step`` on what a layer has gained since the checkpoint, all of it together."""
+    """Run ``step`` on what a layer has gained since the checkpoint, at most ``pace`` bytes at once or all of it."""
     if read_layer(spark, path, schema) is None:
         return
-    reader = spark.readStream.schema(T.StructType([*schema.fields, EPOCH])).option("maxFileAge", KEEP)
+    reader = paced(spark.readStream.schema(T.StructType([*schema.fields, EPOCH])), pace)
     rows = reader.parquet(path).select(*schema.names)
     start(rows.writeStream.foreachBatch(step), checkpoint)
 
@@ -88,8 +89,7 @@ def refine_silver(spark: SparkSession, layout: Layout) -> None:
         write_epoch(fieldless(parsed).select(*BRONZE.names), layout.at("rejects"), epoch)
         write_epoch(clean_strings(extract_fields(parsed)), layout.at("silver"), epoch)
 
-    reader = spark.readStream.schema(BRONZE).option("maxBytesPerTrigger", layout.pace).option("maxFileAge", KEEP)
-    start(reader.parquet(layout.at("bronze")).writeStream.foreachBatch(step), layout.at("checkpoints/silver"))
+    each_epoch(spark, layout.at("bronze"), BRONZE, layout.at("checkpoints/silver"), step, layout.pace)
 
 
 def decide(rows: DataFrame, held: DataFrame | None, layout: Layout) -> tuple[DataFrame, DataFrame]:
@@ -115,7 +115,8 @@ def decide(rows: DataFrame, held: DataFrame | None, layout: Layout) -> tuple[Dat
 def refine_gold(spark: SparkSession, layout: Layout) -> None:
     """Golden records of the silver rows that gold hasn't taken, behind the provider gate.
 
-    What is compared is gold as of the epochs before, so a repeated epoch decides the same.
+    What is compared is gold as of the epochs before, so a repeated epoch decides the same. All that
+    is new is taken at once: a batch in two parts would find its own first part in gold.
     """
 
     def step(rows: DataFrame, epoch: int) -> None:
@@ -147,7 +148,7 @@ def publish(spark: SparkSession, layout: Layout) -> None:
         if failed:
             raise RuntimeError(failed["ERROR_MESSAGE"])
 
-    each_epoch(spark, layout.at("gold"), GOLD, layout.at("checkpoints/exports"), step)
+    each_epoch(spark, layout.at("gold"), GOLD, layout.at("checkpoints/exports"), step, layout.pace)
 
 
 def keyed_table(spark: SparkSession, layout: Layout) -> KeyedTable:

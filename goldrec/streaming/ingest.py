@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-import re
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +17,7 @@ from pyspark.sql.streaming import DataStreamReader, DataStreamWriter, StreamingQ
 
 from goldrec.schemas import BRONZE, GOLD
 from goldrec.sources.tables import conform
+from goldrec.streaming.ledger import PACE, FileLedger, Staged, at_intervals, drain, literal_path
 
 LANDING = T.StructType([
     *GOLD.fields,
@@ -30,14 +35,20 @@ FILES = T.StructType([
     T.StructField("STATUS", T.StringType()),
     T.StructField("REASON", T.StringType()),
 ])
-LISTED = "path string, modificationTime timestamp, length long, content binary"
-
-PACE = 64 * 2**30  # bytes of input of one micro-batch; a backlog takes several, and nothing is left out
-KEEP = "3650d"  # a file staged late with an old time is still new
+PROBED = T.StructType([
+    T.StructField("FILE_PATH", T.StringType()),
+    T.StructField("ROWS", T.LongType()),
+    T.StructField("COLUMNS", T.StringType()),
+    T.StructField("REASON", T.StringType()),
+])
+#: File systems that a task can open without Spark's readers.
+OPENED = ("file:", "s3:", "gs:", "hdfs:")
+KEEP = "36500d"  # the job's own layers are streamed too; files that were put back with old times are still new
 
 
-def paced(reader: DataStreamReader, pace: int = PACE) -> DataStreamReader:
-    return reader.option("recursiveFileLookup", False).option("maxBytesPerTrigger", pace).option("maxFileAge", KEEP)
+def paced(reader: DataStreamReader, pace: int | None = PACE) -> DataStreamReader:
+    reader = reader.option("recursiveFileLookup", False).option("maxFileAge", KEEP)
+    return reader.option("maxBytesPerTrigger", pace) if pace else reader
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -50,6 +61,10 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -
     return query
 
 
+def _run(spark: SparkSession, checkpoint: str, every: str | None, run) -> StreamingQuery | int:
+    return at_intervals(spark, every, f"{checkpoint}/ticks", run) if every else run()
+
+
 def ingest_files(
     spark: SparkSession,
     source: str,
@@ -58,72 +73,164 @@ def ingest_files(
     multiline: bool = False,
     every: str | None = None,
     pace: int = PACE,
-) -> StreamingQuery:
-    """Append new envelope files to the bronze table.
+) -> StreamingQuery | int:
+    """Append new envelope files to the bronze table; how many micro-batches, or with ``every`` the running query.
 
-    ``multiline`` reads files that hold one JSON array; JSON Lines files need no option
-    and can be split. Later steps take bronze file by file, so it isn't partitioned.
+    ``multiline`` reads files that hold one JSON array; JSON Lines files need no option and can be
+    split. A micro-batch writes a folder of its own, which a repeated one writes over.
     """
-    reader = paced(spark.readStream.schema(BRONZE), pace).option("multiLine", multiline)
-    rows = reader.option("recursiveFileLookup", True).json(source)
-    writer = rows.writeStream.format("parquet").outputMode("append").option("path", bronze)
-    return start(writer, checkpoint, every)
+    ledger = FileLedger(spark, f"{checkpoint}/files")
+
+    def take(files: list[Staged], epoch: int) -> None:
+        paths = [literal_path(f.path) for f in files if not f.changed]
+        if paths:
+            rows = spark.read.schema(BRONZE).option("multiLine", multiline).json(paths)
+            rows.write.mode("overwrite").parquet(f"{bronze}/EPOCH={epoch}")
+
+    return _run(spark, checkpoint, every, lambda: drain(spark, source, ledger, take, pace=pace))
 
 
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(bronze)
+    return spark.read.schema(BRONZE).parquet(bronze).select(*BRONZE.names)
+
+
+def _footer(path: str, length: int) -> pa.Buffer:
+    """The end of a file: footer, its length and the mark. Errors here are the store's, not the file's."""
+    system, place = FileSystem.from_uri(path) if not path.startswith("file:") else (FileSystem.from_uri("file:///")[0], "/" + path[5:].lstrip("/"))
+    with system.open_input_file(place) as file:
+        tail = file.read_at(min(8, length), max(0, length - 8))
+        size = int.from_bytes(tail[:4], "little") + 8
+        return pa.py_buffer(tail if len(tail) < 8 or size > length else file.read_at(size, length - size))
+
 
+def _described(footer: pa.Buffer) -> tuple[int | None, str | None, str | None]:
+    """Rows, columns and reason: what a footer says, or why it can't be read."""
+    if footer.size < 8 or footer.to_pybytes()[-4:] != b"PAR1":
+        return None, None, "EMPTY" if not footer.size else "NOT_PARQUET"
+    try:
+        found = pq.read_metadata(pa.BufferReader(footer))
+        return found.num_rows, json.dumps([[f.name, str(f.type)] for f in found.schema.to_arrow_schema()]), None
+    except Exception:  # only bytes at hand are parsed here, so whatever it is, it is the file
+        return None, None, "BROKEN_FOOTER"
+
+
+def probe(spark: SparkSession, files: Sequence[Staged]) -> DataFrame:
+    """One row per file, from its footer alone: rows and columns, or the reason why it can't be read.
+
+    The files are dealt to tasks. A store that fails raises; only what a file's bytes say marks it.
+    """
+    listed = spark.createDataFrame([(f.path, f.length) for f in files], "FILE_PATH string, BYTES long")
+    tasks = max(1, min(len(files) // 32, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
-def _load_group(spark: SparkSession, paths: list[str], folder: str, wire: T.StructType | None) -> DataFrame:
-    """Land the files together and tell what each gave; raises if they can't be read as one."""
-    reader = spark.read.schema(wire) if wire else spark.read.option("mergeSchema", True)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("FILE_PATH").to_pylist()
+            found = [_described(_footer(p, n)) for p, n in zip(paths, batch.column("BYTES").to_pylist())]
+            columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column("FILE_PATH"), *columns], names=PROBED.names)
+
+    return listed.repartition(tasks, "FILE_PATH").mapInArrow(run, PROBED)
+
+
+def readable_together(found: Sequence[tuple[str, str]]) -> list[list[str]]:
+    """Paths in groups whose columns agree: no name has two types or two spellings in a group."""
+    by_columns: dict[str, list[str]] = {}
+    for path, columns in found:
+        by_columns.setdefault(columns, []).append(path)
+    groups: list[tuple[dict[str, tuple[str, str]], list[str]]] = []
+    for columns, paths in sorted(by_columns.items()):
+        named = {name.lower(): (name, kind) for name, kind in json.loads(columns)}
+        for held, members in groups:
+            if all(held.get(k, v) == v for k, v in named.items()):
+                held.update(named)
+                members += paths
+                break
+        else:
+            groups.append((dict(named), list(paths)))
+    return [sorted(members) for _, members in groups]
+
+
+def _staged_rows(spark: SparkSession, groups: Sequence[list[str]], wire: T.StructType | None) -> DataFrame:
+    """The rows of all groups in the golden columns; one plan for each group."""
     # file metadata has the path as an escaped URI, the list of files as the file system names it
     named = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    rows = reader.parquet(*paths).withColumn("SOURCE_FILE", named)
-    checked = (
-        conform(rows, GOLD, carry=("SOURCE_FILE",))
-        .withColumn("LOADED_AT", F.current_timestamp())
-        .withColumn("REJECTED", F.size("FAILED_COLUMNS") > 0)
-    )
-    checked.hint("rebalance").write.mode("overwrite").partitionBy("REJECTED").parquet(folder)
-    landed = spark.read.schema(LANDING).parquet(folder)
-    return landed.groupBy(F.col("SOURCE_FILE").alias("FILE_PATH")).agg(
-        F.count(F.lit(1)).alias("ROWS"), F.max("LOADED_AT").alias("LOADED_AT"),
-        F.lit("LOADED").alias("STATUS"), F.lit(None).cast("string").alias("REASON"),
-    )
+    rows = None
+    for paths in groups:
+        reader = spark.read.schema(wire) if wire else spark.read.option("mergeSchema", True)
+        part = reader.parquet(*map(literal_path, paths)).withColumn("SOURCE_FILE", named)
+        part = conform(part, GOLD, carry=("SOURCE_FILE",))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.withColumn("LOADED_AT", F.current_timestamp()).withColumn("REJECTED", F.size("FAILED_COLUMNS") > 0)
 
 
-def load_paths(
-    spark: SparkSession, paths: list[str], landing: str, load: str, wire_schema: T.StructType | None = None
+def _failed_while_reading(error: Exception) -> bool:
+    return isinstance(error, (PySparkException, Py4JJavaError)) and "FAILED_READ_FILE" in str(error)
+
+
+def _broken_pages(spark: SparkSession, groups: Sequence[list[str]], rows: dict[str, int], wire: T.StructType | None) -> set[str]:
+    """Files that give fewer rows than their footers say once every column is read."""
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        read = _staged_rows(spark, groups, wire)
+        whole = F.bit_xor(F.xxhash64(*[c for c in read.columns if c not in ("SOURCE_FILE", "LOADED_AT")]))
+        counted = read.groupBy("SOURCE_FILE").agg(F.count(F.lit(1)).alias("n"), whole.alias("all")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+    given = {r["SOURCE_FILE"]: r["n"] for r in counted}
+    return {path for paths in groups for path in paths if given.get(path, 0) < rows[path]}
+
+
+def load_files(
+    spark: SparkSession, files: Sequence[Staged], landing: str, load: str, wire_schema: T.StructType | None = None
 ) -> None:
-    """Land staged files under the name ``load``; a file that can't be read is listed, not dropped.
+    """Land staged files under the name ``load``, in one folder, and list what each gave.
 
-    Files are read together. A set that fails, for one corrupt file or for column types that don't
-    merge, is halved until its parts can be read or a single file is at fault. Such a file goes to
-    the audit with its path and the reason; calling this for its path again tries it anew.
+    A file goes to the audit as UNREADABLE only for what its own bytes say: its footer, or pages that
+    give fewer rows than it promises. Any other error, such as a folder that can't be written or a
+    store that doesn't answer, is raised and nothing is listed. Doing it again writes the same
+    folder over. Changed files are listed as CHANGED and not loaded.
     """
-    work, done = [("", sorted(paths))], []
-    while work:
-        part, some = work.pop()
+    new = [f for f in files if not f.changed]
+    # a store that only Spark's readers open isn't probed: whatever is wrong there is raised
+    opened = all(f.path.startswith(OPENED) for f in new)
+    found = probe(spark, new).collect() if opened and new else [(f.path, None, "[]", None) for f in new]
+    rows = {path: n for path, n, _, reason in found if not reason}
+    reasons = {path: reason for path, _, _, reason in found if reason}
+    readable = [(path, "" if wire_schema else columns) for path, _, columns, reason in found if not reason]
+    groups = [[path for path, _ in readable]] if wire_schema and readable else readable_together(readable)
+    while groups:
         try:
-            done.append(_load_group(spark, some, f"{landing}/LOAD={load}{part}", wire_schema))
-        except (PySparkException, Py4JJavaError) as e:
-            if len(some) > 1:
-                half = len(some) // 2
-                work += [(f"{part}0", some[:half]), (f"{part}1", some[half:])]
-            else:
-                known = re.search(r"\[([A-Z_.]+)\]", str(e))
-                reason = known[1] if known else type(e).__name__
-                failed = spark.range(1).select(
-                    F.lit(some[0]).alias("FILE_PATH"), F.lit(0).cast("long").alias("ROWS"), F.current_timestamp().alias("LOADED_AT"),
-                    F.lit("UNREADABLE").alias("STATUS"), F.lit(reason).alias("REASON"))
-                done.append(failed)
-    audit = done[0]
-    for more in done[1:]:
-        audit = audit.unionByName(more)
+            _staged_rows(spark, groups, wire_schema).hint("rebalance").write.mode("overwrite").partitionBy("REJECTED").parquet(f"{landing}/LOAD={load}")
+            break
+        except Exception as error:
+            if not opened or not _failed_while_reading(error):
+                raise
+            broken = _broken_pages(spark, groups, rows, wire_schema)
+            if not broken:
+                raise
+            reasons |= dict.fromkeys(broken, "BROKEN_PAGES")
+            groups = [left for paths in groups if (left := [p for p in paths if p not in broken])]
+    told = [(p, "UNREADABLE", reason) for p, reason in reasons.items()] + [(f.path, "CHANGED", None) for f in files if f.changed]
+    told += [(p, "LOADED", None) for paths in groups for p in paths]
+    audit = spark.createDataFrame(told, "FILE_PATH string, STATUS string, REASON string")
+    zero = F.lit(0).cast("long")
+    if groups:
+        landed = spark.read.schema(LANDING).parquet(f"{landing}/LOAD={load}")
+        audit = audit.join(landed.groupBy(F.col("SOURCE_FILE").alias("FILE_PATH")).agg(F.count(F.lit(1)).alias("ROWS")), "FILE_PATH", "left")
+    else:
+        audit = audit.withColumn("ROWS", zero)
+    audit = audit.withColumns({"ROWS": F.coalesce("ROWS", zero), "LOADED_AT": F.current_timestamp()})
     audit.select(*FILES.names).coalesce(1).write.mode("overwrite").parquet(f"{landing}_files/LOAD={load}")
 
 
+def load_paths(
+    spark: SparkSession, paths: Sequence[str], landing: str, load: str, wire_schema: T.StructType | None = None
+) -> None:
+    """Load these files, whatever the ledger has of them: an unreadable one that was mended, a changed one."""
+    listed = spark.read.format("binaryFile").load([literal_path(p) for p in paths]).select("path", "length", "modificationTime")
+    load_files(spark, [Staged(*r, False) for r in listed.collect()], landing, load, wire_schema)
+
+
 def load_by_name(
     spark: SparkSession,
     staged: str,
@@ -132,25 +239,21 @@ def load_by_name(
     wire_schema: T.StructType | None = None,
     every: str | None = None,
     pace: int = PACE,
-) -> StreamingQuery:
-    """Append new staged Parquet files to landing, columns matched by name.
-
-    The stream is of files, not of rows: each micro-batch lands its files in a folder of its own,
-    which a replay writes again. Rows that do not cast are kept apart as rejects by partition,
-    files that can't be read in the audit. Files staged before the first run are loaded too, which
-    makes a backfill the same call. ``wire_schema`` gives the types as staged; by default the
-    files of a micro-batch are asked for it, from their footers only. Its file names, bounded by
-    ``pace``, pass through the driver.
+) -> StreamingQuery | int:
+    """Append new staged Parquet files to landing, columns matched by name; how many loads, or the running query.
+
+    Each micro-batch of files lands in a folder of its own and is then entered in the ledger, so a
+    load that failed is made again. Rows that do not cast are kept apart as rejects by partition,
+    files that can't be read in the audit. Files staged before the first run are loaded too, and
+    files with old times, which makes a backfill the same call. ``wire_schema`` gives the types as
+    staged; by default each file's own footer does.
     """
-    reader = paced(spark.readStream.format("binaryFile").schema(LISTED), pace)
-    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(staged).select("path")
+    ledger = FileLedger(spark, f"{checkpoint}/files")
 
-    def load(batch: DataFrame, epoch: int) -> None:
-        paths = [r["path"] for r in batch.collect()]
-        if paths:
-            load_paths(spark, paths, landing, f"{epoch:012d}", wire_schema)
+    def take(files: list[Staged], epoch: int) -> None:
+        load_files(spark, files, landing, f"{epoch:012d}", wire_schema)
 
-    return start(files.writeStream.foreachBatch(load), checkpoint, every)
+    return _run(spark, checkpoint, every, lambda: drain(spark, staged, ledger, take, "*.parquet", pace))
 
 
 def read_landing(spark: SparkSession, landing: str) -> DataFrame:
