@@ -161,6 +161,12 @@ on_gold("load_by_name_rejects", """
 on_gold("load_by_name_bad_files", """
   SELECT BATCH_ID, count(*) AS ROWS FROM gold WHERE BATCH_ID <> 'BATCH_1997' GROUP BY BATCH_ID
   UNION ALL SELECT 'corrupt.parquet', 1""")
+on_gold("late_old_file", """
+  SELECT BATCH_ID, count(*) AS ROWS FROM gold GROUP BY BATCH_ID
+  UNION ALL SELECT 'new.parquet', 1""")
+ORACLES["load_replay_split"] = f"""WITH {SOURCE}, {golden_cte()}, {golden_cte('late', "BATCH_ID = 'BATCH_1997'")}
+  SELECT BATCH_ID, count(*) AS ROWS FROM gold WHERE BATCH_ID <> 'BATCH_1997' GROUP BY BATCH_ID
+  UNION ALL SELECT 'BATCH_1997', count(*) FROM late"""
 on_landing("initial_load", f"SELECT {ALL} FROM landing")
 on_gold("backfill", f"SELECT {ALL} FROM gold")
 on_gold("load_history", """

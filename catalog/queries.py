@@ -263,11 +263,61 @@ def _stage_bad_files(spark: SparkSession, sf: str, path: str) -> None:
     odd.withColumn("LOAD_DATE", F.element_at("LOAD_DATE", 1)).coalesce(1).write.parquet(f"{path}/mistyped")
     broken = rows.filter("BATCH_ID = 'BATCH_1997'").select("BATCH_ID").distinct()
     broken.coalesce(1).write.text(f"{path}/text")
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    folder = fs.Path(f"{path}/text")
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in system.globStatus(fs.Path(f"{path}/text/part-*")):
-        system.rename(status.getPath(), fs.Path(f"{path}/text/corrupt.parquet"))
+    system, place = _files(spark, path)
+    for status in system.globStatus(place(f"{path}/text/part-*")):
+        system.rename(status.getPath(), place(f"{path}/text/corrupt.parquet"))
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of the path, and what makes paths of it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _one_file(spark: SparkSession, rows: DataFrame, path: str) -> None:
+    """The rows as one file under this very name, in place of what is there."""
+    parts = scratch_dir(spark, "parts")
+    rows.coalesce(1).write.parquet(parts)
+    system, place = _files(spark, path)
+    system.mkdirs(place(path).getParent())
+    system.delete(place(path), False)
+    for status in system.globStatus(place(f"{parts}/part-*")):
+        system.rename(status.getPath(), place(path))
+
+
+@query
+def late_old_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A file staged last with the oldest time is loaded; new content under a known name is told, not loaded."""
+    root, rows = scratch_dir(spark, "old-file"), golden(spark, sf)
+    staged, landing = f"{root}/staged", f"{root}/landing"
+
+    def run() -> None:
+        ingest.load_by_name(spark, staged, landing, f"{root}/checkpoint")
+
+    _one_file(spark, rows.filter("BATCH_ID > 'BATCH_1997'"), f"{staged}/a/new.parquet")
+    run()
+    _one_file(spark, rows.filter("BATCH_ID <= 'BATCH_1997'"), f"{staged}/b/old.parquet")
+    system, place = _files(spark, staged)
+    system.setTimes(place(f"{staged}/b/old.parquet"), 0, -1)
+    _one_file(spark, rows.filter("BATCH_ID = 'BATCH_1999'"), f"{staged}/a/new.parquet")
+    run()
+    run()
+    found = ingest.read_landing(spark, landing).groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("ROWS"))
+    told = ingest.loaded_files(spark, landing).filter("STATUS = 'CHANGED'")
+    return found.unionByName(told.groupBy(F.regexp_extract("FILE_PATH", "[^/]+$", 0).alias("BATCH_ID")).agg(F.count(F.lit(1)).alias("ROWS")))
+
+
+@query
+def load_replay_split(spark: SparkSession, sf: str) -> DataFrame:
+    """A load that left one file out, made again under its name with that file mended: every row once."""
+    root = scratch_dir(spark, "replay")
+    _stage_bad_files(spark, sf, f"{root}/staged")
+    ingest.load_by_name(spark, f"{root}/staged", f"{root}/landing", f"{root}/checkpoint")
+    _one_file(spark, golden(spark, sf, "BATCH_ID = 'BATCH_1997'"), f"{root}/staged/text/corrupt.parquet")
+    paths = [r["FILE_PATH"] for r in history.list_staged(spark, f"{root}/staged").collect()]
+    for _ in range(2):
+        ingest.load_paths(spark, paths, f"{root}/landing", "000000000000")
+    return ingest.read_landing(spark, f"{root}/landing").groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("ROWS"))
 
 
 @query

@@ -106,7 +106,7 @@ def _footer(path: str, length: int) -> pa.Buffer:
 def _described(footer: pa.Buffer) -> tuple[int | None, str | None, str | None]:
     """Rows, columns and reason: what a footer says, or why it can't be read."""
     if footer.size < 8 or footer.to_pybytes()[-4:] != b"PAR1":
-        return None, None, "EMPTY" if not footer.size else "NOT_PARQUET"
+        return None, None, "NOT_PARQUET"
     try:
         found = pq.read_metadata(pa.BufferReader(footer))
         return found.num_rows, json.dumps([[f.name, str(f.type)] for f in found.schema.to_arrow_schema()]), None
@@ -243,7 +243,7 @@ def load_by_name(
     """Append new staged Parquet files to landing, columns matched by name; how many loads, or the running query.
 
     Each micro-batch of files lands in a folder of its own and is then entered in the ledger, so a
-    load that failed is made again. Rows that do not cast are kept apart as rejects by partition,
+    load that failed is made again. Files of no bytes are not listed by Spark. Rows that do not cast are kept apart as rejects by partition,
     files that can't be read in the audit. Files staged before the first run are loaded too, and
     files with old times, which makes a backfill the same call. ``wire_schema`` gives the types as
     staged; by default each file's own footer does.

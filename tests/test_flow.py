@@ -1,7 +1,9 @@
 """Gates, exports, landing loads, upserts and the whole job: each run twice."""
 
+import os
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from goldrec.plans.provider_view import provider_src
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, GOLD_COLUMNS
 from goldrec.sources import export, files, history, tables
 from goldrec.streaming import cdc, ingest
+from goldrec.streaming.ledger import FileLedger
 from goldrec.streaming.keyed import KeyedTable, newest_per_key, upsert
 from catalog.queries import bronze_rows
 from tests.conftest import rows
@@ -166,6 +169,83 @@ def test_unreadable_files_are_listed_and_can_be_tried_again(spark, gold, tmp_pat
     assert ingest.read_landing(spark, landing).count() == gold.count() + 5
 
 
+def test_an_unwritable_landing_raises_and_loses_nothing(spark, gold, tmp_path):
+    staged, landing, checkpoint = str(tmp_path / "s"), tmp_path / "l", str(tmp_path / "c")
+    gold.repartition(4).write.parquet(staged)
+    landing.write_text("in the way")
+    with pytest.raises(Exception):
+        ingest.load_by_name(spark, staged, str(landing), checkpoint)
+    landing.unlink()
+    assert ingest.load_by_name(spark, staged, str(landing), checkpoint) == 1
+    assert rows(ingest.read_landing(spark, str(landing))) == rows(gold)
+    assert ingest.loaded_files(spark, str(landing)).filter("STATUS <> 'LOADED'").count() == 0
+
+
+def test_a_replay_lands_equal_rows(spark, gold, tmp_path):
+    """A load that had groups and a broken file, then the same load with other files, then the first again."""
+    staged, landing = tmp_path / "s", str(tmp_path / "l")
+    gold.repartition(2).write.parquet(str(staged / "good"))
+    gold.limit(3).withColumn("City", F.lit(5)).coalesce(1).write.parquet(str(staged / "other"))
+    (staged / "bad.parquet").write_bytes(b"PAR1 but nothing more PAR1")
+    paths = [r.FILE_PATH for r in history.list_staged(spark, str(staged)).collect()]
+    for some in (paths, paths[:1], paths, paths):
+        ingest.load_paths(spark, some, landing, "x")
+    assert ingest.read_landing(spark, landing).count() == gold.count() + 3
+    assert rows(ingest.loaded_files(spark, landing).filter("STATUS = 'UNREADABLE'"), "REASON") == [("BROKEN_FOOTER",)]
+
+
+def test_files_of_any_age_and_changed_ones(spark, gold, tmp_path):
+    staged, landing, checkpoint = tmp_path / "s", str(tmp_path / "l"), str(tmp_path / "c")
+    gold.coalesce(1).write.parquet(str(staged / "a"))
+    ingest.load_by_name(spark, str(staged), landing, checkpoint)
+    gold.limit(5).coalesce(1).write.parquet(str(staged / "b"))
+    [old] = (staged / "b").glob("*.parquet")
+    old.rename(staged / "b" / "odd [1] {x} +%.parquet")
+    os.utime(staged / "b" / "odd [1] {x} +%.parquet", (0, 0))
+    assert ingest.load_by_name(spark, str(staged), landing, checkpoint) == 1
+    assert ingest.read_landing(spark, landing).count() == gold.count() + 5
+    [known] = (staged / "a").glob("*.parquet")
+    gold.limit(2).coalesce(1).write.parquet(str(tmp_path / "again"))
+    [other] = (tmp_path / "again").glob("*.parquet")
+    other.replace(known)
+    for expected in (1, 0):  # told once
+        assert ingest.load_by_name(spark, str(staged), landing, checkpoint) == expected
+    assert ingest.read_landing(spark, landing).count() == gold.count() + 5
+    ledger = FileLedger(spark, f"{checkpoint}/files")
+    assert ledger.changed().count() == ingest.loaded_files(spark, landing).filter("STATUS = 'CHANGED'").count() == 1
+
+
+def test_many_files_cost_one_probe_and_one_load(spark, gold, tmp_path):
+    staged, landing = tmp_path / "s", str(tmp_path / "l")
+    gold.repartition(60).write.parquet(str(staged))
+    for n in range(1, 20):
+        (staged / f"bad{n:02d}.parquet").write_text("x" * n)
+    assert ingest.load_by_name(spark, str(staged), landing, str(tmp_path / "c")) == 1
+    listed = ingest.loaded_files(spark, landing)
+    assert rows(ingest.read_landing(spark, landing)) == rows(gold)
+    assert rows(listed.filter("STATUS <> 'LOADED'").groupBy("REASON").count()) == [("NOT_PARQUET", 19)]
+    assert len(list((tmp_path / "l").glob("LOAD=*"))) == 1
+
+
+def test_broken_pages_leave_only_their_own_file_out(spark, gold, tmp_path):
+    staged, landing = tmp_path / "s", str(tmp_path / "l")
+    gold.repartition(3).write.parquet(str(staged))
+    broken = sorted(staged.glob("*.parquet"))[1]
+    data = bytearray(broken.read_bytes())
+    data[4:400] = bytes(396)
+    broken.write_bytes(data)
+    (staged / f".{broken.name}.crc").unlink()  # else the local file system itself refuses the file
+    lost = pq.read_metadata(broken).num_rows
+    assert ingest.load_by_name(spark, str(staged), landing, str(tmp_path / "c")) == 1
+    assert ingest.read_landing(spark, landing).count() == gold.count() - lost
+    assert rows(ingest.loaded_files(spark, landing).filter("STATUS <> 'LOADED'"), "REASON") == [("BROKEN_PAGES",)]
+
+
+def test_columns_that_differ_make_groups():
+    a, b, c = '[["X", "int64"], ["Y", "string"]]', '[["X", "int64"], ["Z", "string"]]', '[["x", "int64"]]'
+    assert ingest.readable_together([("1", a), ("2", b), ("3", c), ("4", a)]) == [["1", "2", "4"], ["3"]]
+
+
 # Keyed table
 
 
