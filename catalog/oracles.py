@@ -380,6 +380,47 @@ on_source("review_survivors", f"""
   FROM (SELECT *, {_SIZED} AS n, {place()} AS SURVIVOR_RANK FROM provider_src) s WHERE n > 1
   ORDER BY ProviderID NULLS LAST, SURVIVOR_RANK LIMIT 20""")
 
+# Configured fields
+
+_PASSES = "levenshtein(a.v, b.v) <= CAST(floor(greatest(length(a.v), length(b.v)) * (100 - {p}) / 100.0) AS BIGINT)"
+_SIMILAR = """SELECT '{f}' AS FIELD, a.State, a.v AS VALUE_A, b.v AS VALUE_B, a.n AS RECORDS_A, b.n AS RECORDS_B,
+    round(100 * (greatest(length(a.v), length(b.v)) - levenshtein(a.v, b.v)) / greatest(length(a.v), length(b.v)), 6) AS SIMILARITY
+  FROM class_{f} a JOIN class_{f} b ON a.State = b.State AND (length(a.v) < length(b.v) OR length(a.v) = length(b.v) AND a.v < b.v)
+  WHERE """ + _PASSES
+
+
+def _classes(field: str) -> str:
+    return f"class_{field} AS (SELECT State, {field} AS v, count(*) AS n FROM provider_src WHERE {field} IS NOT NULL AND State IS NOT NULL GROUP BY ALL)"
+
+
+_FUZZY = {"FullName": 95, "AddressLine1": 90, "City": 90}
+ORACLES["field_match_score"] = f"WITH {SOURCE}, " + ", ".join(map(_classes, _FUZZY)) + " " + " UNION ALL ".join(
+    _SIMILAR.format(f=f, p=p) for f, p in _FUZZY.items())
+ORACLES["field_match_members"] = f"""WITH {SOURCE}, {_classes("AddressLine1")},
+  near AS (SELECT a.State, a.v, CAST(sum(b.n) AS BIGINT) AS n FROM class_AddressLine1 a
+    JOIN class_AddressLine1 b ON a.State = b.State AND a.v <> b.v AND {_PASSES.format(p=90)} GROUP BY ALL)
+  SELECT SRC_KEY, s.State, AddressLine1 AS VALUE, coalesce(c.n - 1, 0) AS EQUAL_RECORDS, coalesce(near.n, 0) AS SIMILAR_RECORDS
+  FROM provider_src s LEFT JOIN class_AddressLine1 c ON s.State = c.State AND AddressLine1 = c.v
+  LEFT JOIN near ON s.State = near.State AND AddressLine1 = near.v"""
+_HELD = ["ProviderID", "FirstName", "MiddleName", "LastName", "FullName", "Credential", "Gender", "Status", "LastUpdated", "AddressLine1",
+         "City", "State", "PostalCode", "CountryCode", "PhoneNumber", "TaxonomyCode", "LicenseNumber", "Identifier"]
+
+
+def _verdict(c: str) -> str:
+    a, b = f"a.{c}", f"b.{c}"
+    same = f"{a} = {b}"
+    if c in _FUZZY:
+        longer = f"greatest(length({a}), length({b}))"
+        same = f"({longer} = 0 OR round(100 * ({longer} - levenshtein({a}, {b})) / {longer}, 6) >= {_FUZZY[c]})"
+    return f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN 'MISSING' WHEN {same} THEN 'PASSED' ELSE 'FAILED' END"
+
+
+_LISTED = {k: "concat_ws(',', " + ", ".join(f"CASE WHEN {_verdict(c)} = '{k}' THEN '{c}' END" for c in _HELD) + f") AS {k}" for k in ("PASSED", "FAILED", "MISSING")}
+ORACLES["field_match_pairs"] = f"""WITH {SOURCE},
+  keyed AS (SELECT *, lead(SRC_KEY) OVER (PARTITION BY PhoneNumber, PostalCode ORDER BY SRC_KEY) AS next
+    FROM provider_src WHERE PhoneNumber IS NOT NULL)
+  SELECT a.SRC_KEY, {', '.join(_LISTED.values())} FROM keyed a JOIN provider_src b ON a.next = b.SRC_KEY"""
+
 # E. Change capture and upsert
 
 on_gold("cdc_pending", f"SELECT {ALL} FROM gold WHERE BATCH_ID NOT IN {DONE}")

@@ -5,13 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from goldrec.operators import gates, matching, payload, rules, standardize, survive
+from goldrec.operators import gates, matching, payload, rules, similar, standardize, survive
 from goldrec.plans import marts, pipeline, reports
 from goldrec.plans.provider_view import provider_src, silver_shape
-from goldrec.schemas import ATTRIBUTES, AUDIT, GOLD, GOLD_COLUMNS, PAYLOAD
+from goldrec.schemas import ATTRIBUTES, AUDIT, FUZZY_PRECISION, GOLD, GOLD_COLUMNS, PAYLOAD
 from goldrec.session import scratch_dir
 from goldrec.sources import export, files, history, tables
 from goldrec.streaming import cdc, ingest
@@ -590,6 +590,29 @@ def duplicate_flag(spark: SparkSession, sf: str) -> DataFrame:
     return flagged.select("SRC_KEY", "DUPLICATE_COUNT", "DUPLICATE_STATUS")
 
 
+@query
+def field_match_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearly equal values of the FUZZY fields, within states: some blocks hold a fifth of all records."""
+    return similar.score_fields(provider_src(spark, sf), block=("State",))
+
+
+@query
+def field_match_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record with the number of other records whose address passes."""
+    return similar.similar_records(provider_src(spark, sf), "SRC_KEY", "AddressLine1", FUZZY_PRECISION["AddressLine1"], ("State",))
+
+
+@query
+def field_match_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidate pairs from equal phone and postal code, field by field: neighbouring records of a key."""
+    rows = provider_src(spark, sf).filter("PhoneNumber IS NOT NULL")
+    record = F.struct(*[c for c in ATTRIBUTES if c in rows.columns])
+    after = Window.partitionBy("PhoneNumber", "PostalCode").orderBy("SRC_KEY")
+    pairs = rows.select("SRC_KEY", record.alias("a"), F.lead(record).over(after).alias("b")).filter("b IS NOT NULL")
+    scored = similar.score_pairs(pairs)
+    return scored.select("SRC_KEY", *[F.array_join(c, ",").alias(c) for c in ("PASSED", "FAILED", "MISSING")])
+
+
 FUZZY_COLUMNS = ["SRC_KEY", "FUZZY_MATCH_KEY", "FUZZY_MATCH_COUNT", "FUZZY_MATCH_STATUS"]
 
 
