@@ -436,6 +436,16 @@ _MERGED = f"""{_SIDES}
   WHERE NOT EXISTS (SELECT 1 FROM incoming WHERE incoming.ProviderID = target.ProviderID)"""
 for _name in ("merge_upsert", "merge_replay", "cdc_run"):
     ORACLES[_name] = _MERGED
+_MOVED = f"""{_SIDES},
+  moved AS (SELECT * REPLACE (CASE WHEN CAST(ProviderID AS INT) % 3 = 0 THEN 'ASIA' ELSE State END AS State) FROM incoming),
+  merged AS (SELECT {ALL} FROM moved UNION ALL SELECT {ALL} FROM target
+    WHERE NOT EXISTS (SELECT 1 FROM moved WHERE moved.ProviderID = target.ProviderID))"""
+ORACLES["merge_written"] = f"{_MOVED} SELECT {ALL} FROM merged"
+ORACLES["mart_incremental"] = f"""{_MOVED}
+  SELECT State, count(*) AS TOTAL_PROVIDERS, count(*) FILTER (Status = 'A') AS ACTIVE_PROVIDERS,
+         count(*) FILTER (Status = 'I') AS INACTIVE_PROVIDERS, count(*) FILTER (Gender = 'M') AS MALE_PROVIDERS,
+         count(*) FILTER (Gender = 'F') AS FEMALE_PROVIDERS, count(DISTINCT TaxonomyCode) AS TOTAL_SPECIALIZATIONS
+  FROM merged GROUP BY State"""
 ORACLES["cdc_stream"] = f"""{_SIDES}
   SELECT {ALL} FROM target UNION ALL SELECT {ALL} FROM incoming"""
 ORACLES["run_history"] = f"""{_SIDES}

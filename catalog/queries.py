@@ -836,6 +836,34 @@ def merge_replay(spark: SparkSession, sf: str) -> DataFrame:
     return smaller.read()
 
 
+def _written_table(spark: SparkSession, sf: str) -> KeyedTable:
+    """Early golden records, then three commits of later ones: two settle into the base, one doesn't."""
+    table = KeyedTable(spark, scratch_dir(spark, "master"))
+    table.load(_until(spark, sf))
+    table.settle()
+    late = _after(spark, sf).withColumn("State", F.when(F.col("ProviderID").cast("int") % 3 == 0, "ASIA").otherwise(F.col("State")))
+    for commit in (1, 2, 3):
+        table.merge(late.filter(F.coalesce(F.col("ProviderID").cast("int") % 3 + 1, F.lit(1)) == commit), commit)
+        table.settle(share=0.02 * commit)
+    return table
+
+
+@query
+def merge_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Commits over a settled base: whatever was settled, reading gives the newest row of each id."""
+    return _written_table(spark, sf).read()
+
+
+@query
+def mart_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The state mart from cells that each commit adds to and takes back from; providers move between states."""
+    table = _written_table(spark, sf)
+    kept = marts.IncrementalMarts(table, scratch_dir(spark, "cells"))
+    for _ in range(2):
+        kept.refresh()
+    return kept.read("mart_provider_state")
+
+
 def _run_twice(spark: SparkSession, sf: str) -> tuple[KeyedTable, str]:
     root = scratch_dir(spark, "upsert")
     table = KeyedTable(spark, f"{root}/master")

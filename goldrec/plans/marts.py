@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from goldrec.operators.rules import QUALITY_OK
 from goldrec.plans.reports import group_count, layer_counts
 from goldrec.schemas import GOLD_COLUMNS
+from goldrec.streaming.keyed import KeyedTable, folders
 
 # The distinct-count measure of a mart and the column it counts.
 MEASURES = {
@@ -23,91 +25,129 @@ def dimension(gold: DataFrame) -> DataFrame:
     return gold.select(*GOLD_COLUMNS)
 
 
-def mart(
-    dim: DataFrame,
-    by: str,
-    distinct: Sequence[str],
-    tallies: Mapping[str, Column] | None = None,
-    order: Column | None = None,
-) -> DataFrame:
-    """Rows, conditional tallies and distinct counts per group.
+@dataclass(frozen=True)
+class Mart:
+    """Rows, conditional tallies (SQL conditions) and distinct counts per value of ``by``.
 
-    Rows are first counted per combination of the group and the counted columns. That
+    Rows are first counted per combination of the group and the counted columns (cells). That
     combines before the shuffle and leaves few rows for the distinct counts, which would
     otherwise multiply every input row by the number of distinct columns.
     """
-    tallies = tallies or {}
-    columns = list(dict.fromkeys([by, *[MEASURES[m] for m in distinct]]))
-    cells = dim.groupBy(*columns).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(cond).alias(name) for name, cond in tallies.items()],
-    )
-    rolled = cells.groupBy(by).agg(
-        F.sum("_rows").alias("TOTAL_PROVIDERS"),
-        *[F.sum(name).alias(name) for name in tallies],
-        *[F.count_distinct(F.col(MEASURES[m])).alias(m) for m in distinct],
-    )
-    return rolled.orderBy(order if order is not None else F.desc("TOTAL_PROVIDERS"), F.asc_nulls_last(by))
 
+    by: str
+    distinct: tuple[str, ...]
+    tallies: Mapping[str, str] = field(default_factory=dict)
+    newest_first: bool = False
+
+    @property
+    def columns(self) -> list[str]:
+        return list(dict.fromkeys([self.by, *[MEASURES[m] for m in self.distinct]]))
+
+    def cells(self, rows: DataFrame, sign: Column | None = None) -> DataFrame:
+        """Counts per combination; ``sign`` counts a row as 1 or takes it back as -1."""
+        one = F.lit(1) if sign is None else sign
+        return rows.groupBy(*self.columns).agg(
+            F.sum(one).cast("long").alias("_rows"),
+            *[F.sum(F.when(F.expr(condition), one).otherwise(0)).cast("long").alias(name) for name, condition in self.tallies.items()],
+        )
 
-def mart_state(dim: DataFrame, compat: bool = False) -> DataFrame:
-    """Per state. ``compat`` compares with spelled-out words the data never holds."""
-    active, inactive, male, female = (
-        ("Active", "Inactive", "Male", "Female") if compat else ("A", "I", "M", "F")
-    )
-    return mart(
-        dim,
-        "State",
-        ["TOTAL_SPECIALIZATIONS"],
-        {
-            "ACTIVE_PROVIDERS": F.col("Status") == active,
-            "INACTIVE_PROVIDERS": F.col("Status") == inactive,
-            "MALE_PROVIDERS": F.col("Gender") == male,
-            "FEMALE_PROVIDERS": F.col("Gender") == female,
-        },
-    )
+    def add(self, cells: DataFrame) -> DataFrame:
+        """Cells that stand for the same combination made one; what was taken back in full goes."""
+        sums = [F.sum(c).alias(c) for c in ("_rows", *self.tallies)]
+        return cells.groupBy(*self.columns).agg(*sums).filter("_rows > 0")
 
+    def roll_up(self, cells: DataFrame) -> DataFrame:
+        rolled = cells.groupBy(self.by).agg(
+            F.sum("_rows").alias("TOTAL_PROVIDERS"),
+            *[F.sum(name).alias(name) for name in self.tallies],
+            *[F.count_distinct(F.col(MEASURES[m])).alias(m) for m in self.distinct],
+        )
+        order = F.desc_nulls_last(self.by) if self.newest_first else F.desc("TOTAL_PROVIDERS")
+        return rolled.orderBy(order, F.asc_nulls_last(self.by))
 
-def mart_summary(dim: DataFrame, compat: bool = False) -> DataFrame:
-    """Per load date, newest first. ``compat`` counts a warning text that never occurs."""
-    warning = F.col("DATA_QUALITY_WARNING")
-    return mart(
-        dim,
-        "LOAD_DATE",
-        ["TOTAL_STATES", "TOTAL_CITIES", "TOTAL_SPECIALIZATIONS"],
-        {
-            "BUSINESS_RULE_PASS": F.col("BUSINESS_RULE_STATUS") == "PASS",
-            "BUSINESS_RULE_FAIL": F.col("BUSINESS_RULE_STATUS") == "FAIL",
-            "DATA_QUALITY_WARNINGS": warning == "YES" if compat else warning != QUALITY_OK,
-        },
-        order=F.desc_nulls_last("LOAD_DATE"),
-    )
+    def __call__(self, dim: DataFrame) -> DataFrame:
+        return self.roll_up(self.cells(dim))
 
 
-def mart_gender(dim: DataFrame) -> DataFrame:
-    return mart(dim, "Gender", ["TOTAL_STATES", "TOTAL_SPECIALIZATIONS"])
+def _state(active: str, inactive: str, male: str, female: str) -> Mart:
+    return Mart("State", ("TOTAL_SPECIALIZATIONS",), {
+        "ACTIVE_PROVIDERS": f"Status = '{active}'",
+        "INACTIVE_PROVIDERS": f"Status = '{inactive}'",
+        "MALE_PROVIDERS": f"Gender = '{male}'",
+        "FEMALE_PROVIDERS": f"Gender = '{female}'",
+    })
 
 
-def mart_taxonomy(dim: DataFrame) -> DataFrame:
-    return mart(dim, "TaxonomyCode", ["TOTAL_STATES", "TOTAL_CITIES"])
+def _summary(warned: str) -> Mart:
+    return Mart("LOAD_DATE", ("TOTAL_STATES", "TOTAL_CITIES", "TOTAL_SPECIALIZATIONS"), {
+        "BUSINESS_RULE_PASS": "BUSINESS_RULE_STATUS = 'PASS'",
+        "BUSINESS_RULE_FAIL": "BUSINESS_RULE_STATUS = 'FAIL'",
+        "DATA_QUALITY_WARNINGS": warned,
+    }, newest_first=True)
 
 
-def mart_rules(dim: DataFrame) -> DataFrame:
-    return mart(dim, "BUSINESS_RULE_STATUS", ["TOTAL_STATES", "TOTAL_SPECIALIZATIONS"])
+def mart_state(dim: DataFrame, compat: bool = False) -> DataFrame:
+    """Per state. ``compat`` compares with spelled-out words the data never holds."""
+    return (_state("Active", "Inactive", "Male", "Female") if compat else MARTS["mart_provider_state"])(dim)
 
 
-def mart_quality(dim: DataFrame) -> DataFrame:
-    return mart(dim, "DATA_QUALITY_WARNING", ["TOTAL_STATES", "TOTAL_SPECIALIZATIONS"])
+def mart_summary(dim: DataFrame, compat: bool = False) -> DataFrame:
+    """Per load date, newest first. ``compat`` counts a warning text that never occurs."""
+    return (_summary("DATA_QUALITY_WARNING = 'YES'") if compat else MARTS["mart_provider_summary"])(dim)
 
 
 MARTS = {
-    "mart_provider_state": mart_state,
-    "mart_provider_summary": mart_summary,
-    "mart_provider_gender": mart_gender,
-    "mart_provider_taxonomy": mart_taxonomy,
-    "mart_provider_business_rules": mart_rules,
-    "mart_provider_data_quality": mart_quality,
+    "mart_provider_state": _state("A", "I", "M", "F"),
+    "mart_provider_summary": _summary(f"DATA_QUALITY_WARNING <> '{QUALITY_OK}'"),
+    "mart_provider_gender": Mart("Gender", ("TOTAL_STATES", "TOTAL_SPECIALIZATIONS")),
+    "mart_provider_taxonomy": Mart("TaxonomyCode", ("TOTAL_STATES", "TOTAL_CITIES")),
+    "mart_provider_business_rules": Mart("BUSINESS_RULE_STATUS", ("TOTAL_STATES", "TOTAL_SPECIALIZATIONS")),
+    "mart_provider_data_quality": Mart("DATA_QUALITY_WARNING", ("TOTAL_STATES", "TOTAL_SPECIALIZATIONS")),
 }
+mart_gender, mart_taxonomy, mart_rules, mart_quality = (
+    MARTS[f"mart_provider_{name}"] for name in ("gender", "taxonomy", "business_rules", "data_quality"))
+
+
+class IncrementalMarts:
+    """Marts kept as cells, which a commit of the keyed table adds to and takes back from.
+
+    A commit costs its own rows, those that they replace, and the cells. The cells after each commit are a
+    folder of their own, made from those after the one before, so doing a commit again changes nothing.
+    """
+
+    def __init__(self, table: KeyedTable, root: str):
+        self.table, self.root, self.spark = table, root.rstrip("/"), table.spark
+
+    def _done(self, name: str) -> list[int]:
+        return sorted(int(f.rsplit("=", 1)[1]) for f in folders(self.spark, f"{self.root}/{name}/AT=*"))
+
+    def cells(self, name: str, at: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}/AT={at}")
+
+    def refresh(self) -> list[int]:
+        """Bring every mart up to the table's last commit; the commits that were new to one of them."""
+        done = {name: self._done(name) for name in MARTS}
+        taken = []
+        for commit in self.table.commits():
+            behind = [name for name in MARTS if not done[name] or done[name][-1] < commit]
+            if not behind:
+                continue
+            signed = self.table.signed_changes(commit).persist()
+            for name in behind:
+                cells = MARTS[name].cells(signed, F.col("SIGN"))
+                if done[name]:
+                    cells = self.cells(name, done[name][-1]).unionByName(cells)
+                MARTS[name].add(cells).write.mode("overwrite").parquet(f"{self.root}/{name}/AT={commit}")
+                done[name].append(commit)
+            signed.unpersist()
+            taken.append(commit)
+        return taken
+
+    def read(self, name: str) -> DataFrame:
+        done = self._done(name)
+        if not done:
+            return MARTS[name](self.table.read())
+        return MARTS[name].roll_up(self.cells(name, done[-1]))
 
 
 def materialise(df: DataFrame, name: str, kind: str = "table", path: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from goldrec.operators.gates import gate_providers, known_providers, unbatched
 from goldrec.operators.payload import clean_strings, extract_fields, fieldless, parse_payload
 from goldrec.operators.survive import Survivorship, golden_record
-from goldrec.plans.marts import build_models
+from goldrec.plans.marts import MARTS, IncrementalMarts, dimension
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, SILVER
 from goldrec.sources.export import export_pending, log_export
 from goldrec.streaming.cdc import run_upsert
@@ -175,9 +175,18 @@ def load_master(spark: SparkSession, layout: Layout) -> None:
 STEPS = (refine_silver, refine_gold, publish, load_master)
 
 
+def refresh_models(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The dimension as a view of the keyed table, and the marts brought up to its last commit."""
+    table = keyed_table(spark, layout)
+    table.settle()
+    marts = IncrementalMarts(table, layout.at("cells"))
+    marts.refresh()
+    return {"dim_provider": dimension(table.read()), **{name: marts.read(name) for name in MARTS}}
+
+
 def run_all(spark: SparkSession, layout: Layout, processed: str) -> dict[str, DataFrame]:
     """Every step once over what is new; running it again without new files adds nothing."""
     ingest_files(spark, processed, layout.at("bronze"), layout.at("checkpoints/bronze"), pace=layout.pace)
     for step in STEPS:
         step(spark, layout)
-    return build_models(keyed_table(spark, layout).read(), layout.at("models"))
+    return refresh_models(spark, layout)

@@ -15,7 +15,7 @@ from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, GOLD_COLUMNS
 from goldrec.sources import export, files, history, tables
 from goldrec.streaming import cdc, ingest
 from goldrec.streaming.ledger import FileLedger
-from goldrec.streaming.keyed import KeyedTable, newest_per_key, upsert
+from goldrec.streaming.keyed import KeyedTable, merge_into, newest_per_key, upsert
 from catalog.queries import bronze_rows
 from tests.conftest import rows
 
@@ -280,6 +280,72 @@ def test_a_commit_writes_only_its_own_rows(spark, gold, tmp_path):
     assert table.changes().filter("COMMIT = 1").count() == 1
 
 
+def test_many_commits_settle_and_reading_stays_cheap(spark, gold, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    assert not table.settle() and table.read().count() == 0 and not (tmp_path / "t").exists()
+    table.load(gold)
+    assert table.settle() and not table.settle()
+    want = {r.ProviderID: r.City for r in gold.filter("ProviderID IS NOT NULL").collect()}
+    for n in range(1, 9):
+        change = gold_rows(spark, *[(str(k), "B", 2, f"c{n}") for k in range(n * 30, n * 30 + 60)], (None, "B", 2, "none"))
+        table.merge(change, n)
+        want.update({str(k): f"c{n}" for k in range(n * 30, n * 30 + 60)})
+        table.settle()
+    assert 1 < len(table.bases()) < 9
+    before = sorted(str(p) for p in (tmp_path / "t").rglob("*"))
+    read = table.read()
+    assert {r.ProviderID: r.City for r in read.filter("ProviderID IS NOT NULL").collect()} == want
+    assert read.filter("ProviderID IS NULL").count() == gold.filter("ProviderID IS NULL").count() + 8
+    newer = [c for c in table.commits() if c > max(table.bases())]
+    assert not any("COMMIT=" in f and int(f.split("COMMIT=")[1].split("/")[0]) not in newer for f in read.inputFiles())
+    assert sorted(str(p) for p in (tmp_path / "t").rglob("*")) == before  # reading writes nothing
+    table.settle(share=0)
+    table.merge(change, 9)
+    again = KeyedTable(spark, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = again.read()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    base = plan[plan.index("LeftAnti"):plan.index("Bucketed: true")]
+    assert "FileScan" in base and "Exchange" not in base  # the settled rows are not shuffled
+
+
+def test_a_base_keeps_repeated_ids_of_a_first_load(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    table.load(gold_rows(spark, ("4", "A", 1, "x"), ("4", "A", 1, "y"), (None, "A", 1, "n"), (None, "A", 1, "n"), ("5", "A", 1, "z")))
+    table.settle(buckets=3)
+    assert rows(table.read(), "ProviderID", "City") == [("4", "x"), ("4", "y"), ("5", "z"), (None, "n"), (None, "n")]
+    table.merge(gold_rows(spark, ("4", "B", 2, "new")), 1)
+    for _ in range(2):
+        assert rows(table.read(), "ProviderID", "City") == [("4", "new"), ("5", "z"), (None, "n"), (None, "n")]
+        table.settle(share=0)
+    assert rows(table.read(until=0), "ProviderID", "City")[:2] == [("4", "x"), ("4", "y")]
+
+
+def test_merge_into_needs_a_format_that_can(spark, gold, tmp_path):
+    tables.ensure_table(spark, "plain", GOLD, str(tmp_path / "t"))
+    with pytest.raises(Exception, match="MERGE|merge"):
+        merge_into(gold, "plain", "ProviderID")
+
+
+def test_incremental_marts_equal_a_rebuild(spark, gold, tmp_path):
+    """Providers move between states, change, repeat and appear; a commit is made again."""
+    table = KeyedTable(spark, str(tmp_path / "t"))
+    kept = marts.IncrementalMarts(table, str(tmp_path / "cells"))
+    table.load(gold)
+    assert kept.refresh() == [0]
+    for n in (1, 2):
+        moved = gold.filter(F.pmod(F.xxhash64("ProviderID"), F.lit(4)) == n).withColumn("State", F.lit("NEW")).withColumn("TaxonomyCode", F.lit(f"T{n}"))
+        table.merge(moved, n)
+        table.settle(share=0)
+        assert kept.refresh() == [n] and kept.refresh() == []
+        table.merge(moved, n)
+    for name, mart in marts.MARTS.items():
+        assert rows(kept.read(name)) == rows(mart(table.read())), name
+    assert kept.read("mart_provider_state").filter("State = 'NEW'").first().TOTAL_SPECIALIZATIONS == 2
+
+
 def test_newest_per_key_is_total(spark):
     df = gold_rows(spark, ("1", "A", 1, "x"), ("1", "A", 1, "y"), (None, "A", 1, "x"), (None, "A", 1, "x"))
     once = rows(newest_per_key(df, "ProviderID"))
@@ -370,7 +436,7 @@ def test_run_can_be_repeated_after_a_crash_in_any_step(spark, sf, tmp_path, monk
 
     places = [
         ("goldrec.plans.pipeline.write_epoch", 3), ("goldrec.plans.pipeline.write_epoch", 4), ("goldrec.plans.pipeline.log_export", 1),
-        ("goldrec.streaming.ingest.load_files", 1), ("goldrec.streaming.keyed.KeyedTable.merge", 1), ("goldrec.plans.pipeline.build_models", 1),
+        ("goldrec.streaming.ingest.load_files", 1), ("goldrec.streaming.keyed.KeyedTable.merge", 1), ("goldrec.plans.pipeline.refresh_models", 1),
     ]
     for n, (name, nth) in enumerate(places):
         files.write_envelopes(drops.filter(F.pmod(F.xxhash64("PROVIDER_JSON"), F.lit(len(places))) == n), f"{processed}/{n}")
