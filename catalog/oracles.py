@@ -277,6 +277,10 @@ on_source("null_report", "SELECT " + ", ".join(
     f"round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 6) AS {c}_null_pct"
     for c in _ORDERED + AUDIT
 ) + " FROM provider_src")
+ORACLES["null_report_footers"] = ORACLES["null_report"]
+ORACLES["layer_counts_footers"] = f"""WITH {SOURCE}, {golden_cte()}
+  SELECT 'bronze' AS LAYER, count(*) AS TOTAL_RECORDS FROM provider_src UNION ALL SELECT 'silver', count(*) FROM provider_src
+  UNION ALL SELECT 'gold', count(*) FROM gold"""
 on_source("batch_presence", """
   SELECT b AS BATCH_ID, CAST(0 AS BIGINT) AS ROWS_BEFORE,
     (SELECT count(*) FROM provider_src WHERE BATCH_ID = b) AS ROWS_AFTER
@@ -323,7 +327,7 @@ _DAY = "'BATCH_' || strftime(LOAD_TIMESTAMP, '%Y%m%d_%H%M%S') AS BATCH_ID"
 _GATE = f"""WITH {SOURCE},
   {golden_cte('everyone')},
   held AS (SELECT * FROM everyone WHERE CAST(ProviderID AS INTEGER) % 5 = 0),
-  {golden_cte('yearly', "BATCH_ID > 'BATCH_1998'")},
+  {golden_cte('yearly')},
   fresh AS (SELECT {', '.join(c for c in GOLD if c != 'BATCH_ID')}, {_DAY} FROM yearly),
   verdict AS (
     SELECT f.BATCH_ID, count(DISTINCT f.ProviderID) AS PROVIDERS,
@@ -337,12 +341,11 @@ ORACLES["gate_provider_anti"] = f"""{_GATE} SELECT {ALL} FROM fresh
   WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.ProviderID = fresh.ProviderID)"""
 ORACLES["gate_provider_upsert"] = f"""{_GATE} SELECT {ALL} FROM fresh UNION ALL
   SELECT {ALL} FROM held WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh.ProviderID = held.ProviderID)"""
+_BACK = "BATCH_ID < 'BATCH_1997' AND coalesce(CAST(ProviderID AS INTEGER) % 50 = 0, false)"
 ORACLES["gate_poison"] = f"""WITH {SOURCE},
-  {golden_cte('early', "BATCH_ID < 'BATCH_1997'")},
-  fresh AS (SELECT * FROM provider_src WHERE BATCH_ID = 'BATCH_1997'
-    OR BATCH_ID > 'BATCH_1997' AND CAST(ProviderID AS INTEGER) % 50 <> 0),
-  blocked AS (SELECT DISTINCT BATCH_ID FROM fresh WHERE ProviderID IN
-    (SELECT ProviderID FROM early WHERE CAST(ProviderID AS INTEGER) % 50 = 0)),
+  fresh AS (SELECT * REPLACE (CASE WHEN BATCH_ID = 'BATCH_1997' OR CAST(ProviderID AS INTEGER) % 50 <> 0 THEN ProviderID
+      ELSE ProviderID || 'X' END AS ProviderID) FROM provider_src WHERE NOT ({_BACK})),
+  blocked AS (SELECT DISTINCT BATCH_ID FROM fresh WHERE ProviderID IN (SELECT ProviderID FROM provider_src WHERE {_BACK})),
   {golden_cte('gold', "BATCH_ID NOT IN (SELECT BATCH_ID FROM blocked)").replace("FROM provider_src", "FROM fresh")}
   SELECT {ALL} FROM gold"""
 on_source("late_file_batch", """
@@ -446,6 +449,11 @@ ORACLES["mart_incremental"] = f"""{_MOVED}
          count(*) FILTER (Status = 'I') AS INACTIVE_PROVIDERS, count(*) FILTER (Gender = 'M') AS MALE_PROVIDERS,
          count(*) FILTER (Gender = 'F') AS FEMALE_PROVIDERS, count(DISTINCT TaxonomyCode) AS TOTAL_SPECIALIZATIONS
   FROM merged GROUP BY State"""
+ORACLES["cdc_gate"] = f"""{_SIDES}, merged AS ({_MERGED.removeprefix(_SIDES)})
+  SELECT CAST(STEP AS BIGINT) AS STEP, STEP % 2 = 0 AS HAS_DATA, STEP % 2 = 0 AS RAN, (SELECT count(*) FROM merged) AS MERGED FROM range(4) r(STEP)"""
+ORACLES["run_history_failed"] = f"""{_SIDES}
+  SELECT 'SUCCEEDED' AS STATE, count(*) AS SOURCE_ROWS, false AS TOLD FROM target UNION ALL SELECT 'FAILED', 0, true"""
+on_source("archive_digests", "SELECT true AS EQUAL, count(*) AS RESPONSES FROM provider_src")
 ORACLES["cdc_stream"] = f"""{_SIDES}
   SELECT {ALL} FROM target UNION ALL SELECT {ALL} FROM incoming"""
 ORACLES["run_history"] = f"""{_SIDES}

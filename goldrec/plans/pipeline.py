@@ -22,7 +22,7 @@ from goldrec.operators.survive import Survivorship, golden_record
 from goldrec.plans.marts import MARTS, IncrementalMarts, dimension
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, SILVER
 from goldrec.sources.export import export_pending, log_export
-from goldrec.streaming.cdc import run_upsert
+from goldrec.streaming.cdc import triggered_upsert
 from goldrec.streaming.ingest import PACE, ingest_files, load_by_name, paced, start
 from goldrec.streaming.keyed import KeyedTable
 
@@ -162,7 +162,7 @@ def load_master(spark: SparkSession, layout: Layout) -> None:
     load_by_name(
         spark, layout.at("exports"), layout.at("landing"), layout.at("checkpoints/landing"), GOLD, pace=layout.pace
     )
-    run_upsert(
+    triggered_upsert(
         spark,
         layout.at("landing"),
         keyed_table(spark, layout),

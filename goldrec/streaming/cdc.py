@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from goldrec.operators.gates import new_batches
 from goldrec.schemas import GOLD
+from goldrec.sources.history import list_staged
 from goldrec.streaming.ingest import LANDING, PACE, paced, start
 from goldrec.streaming.keyed import KeyedTable
 
@@ -54,6 +56,35 @@ def has_data(landing: DataFrame, consumed: DataFrame | None) -> DataFrame:
     return batches.agg((F.count(F.lit(1)) > 0).alias("HAS_DATA"))
 
 
+def has_pending(spark: SparkSession, landing: str, checkpoint: str) -> bool:
+    """Whether landing has a file that the consuming query hasn't finished.
+
+    The listing is compared with the files of finished micro-batches in the query's checkpoint;
+    no data file is read.
+    """
+    listed = list_staged(spark, landing, "*.parquet").select("FILE_PATH")
+    try:
+        last = spark.read.text(f"{checkpoint}/commits").agg(F.max(F.col("_metadata.file_name").cast("long"))).first()[0]
+        log = spark.read.text(f"{checkpoint}/sources/0").filter("value LIKE '{%'")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return not listed.isEmpty()
+        raise
+    entry = F.from_json("value", "path string, batchId long")
+    taken = log.select(entry.alias("e")).filter(F.col("e.batchId") <= F.lit(-1 if last is None else last))
+    # the log has escaped URIs, the listing paths as the file system names them
+    named = F.regexp_replace(F.url_decode(F.replace("e.path", F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    return not listed.join(taken.select(named.alias("FILE_PATH")), "FILE_PATH", "left_anti").isEmpty()
+
+
+def triggered_upsert(spark: SparkSession, landing: str, table: KeyedTable, checkpoint: str, runs: str, pace: int = PACE) -> bool:
+    """Run the upsert if anything is pending; whether it ran."""
+    if not has_pending(spark, landing, checkpoint):
+        return False
+    run_upsert(spark, landing, table, checkpoint, runs, pace=pace)
+    return True
+
+
 def run_upsert(
     spark: SparkSession,
     landing: str,

@@ -7,7 +7,6 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow.fs import FileSystem
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader, DataStreamWriter, StreamingQuery
 
 from goldrec.schemas import BRONZE, GOLD
+from goldrec.sources.files import OPENED, open_staged
 from goldrec.sources.tables import conform
 from goldrec.streaming.ledger import PACE, FileLedger, Staged, at_intervals, drain, literal_path
 
@@ -41,8 +41,6 @@ PROBED = T.StructType([
     T.StructField("COLUMNS", T.StringType()),
     T.StructField("REASON", T.StringType()),
 ])
-#: File systems that a task can open without Spark's readers.
-OPENED = ("file:", "s3:", "gs:", "hdfs:")
 KEEP = "36500d"  # the job's own layers are streamed too; files that were put back with old times are still new
 
 
@@ -96,8 +94,7 @@ def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
 
 def _footer(path: str, length: int) -> pa.Buffer:
     """The end of a file: footer, its length and the mark. Errors here are the store's, not the file's."""
-    system, place = FileSystem.from_uri(path) if not path.startswith("file:") else (FileSystem.from_uri("file:///")[0], "/" + path[5:].lstrip("/"))
-    with system.open_input_file(place) as file:
+    with open_staged(path) as file:
         tail = file.read_at(min(8, length), max(0, length - 8))
         size = int.from_bytes(tail[:4], "little") + 8
         return pa.py_buffer(tail if len(tail) < 8 or size > length else file.read_at(size, length - size))
@@ -192,7 +189,7 @@ def load_files(
     """
     new = [f for f in files if not f.changed]
     # a store that only Spark's readers open isn't probed: whatever is wrong there is raised
-    opened = all(f.path.startswith(OPENED) for f in new)
+    opened = all(f.path.partition(":")[0] in OPENED for f in new)
     found = probe(spark, new).collect() if opened and new else [(f.path, None, "[]", None) for f in new]
     rows = {path: n for path, n, _, reason in found if not reason}
     reasons = {path: reason for path, _, _, reason in found if reason}

@@ -372,6 +372,25 @@ def test_upsert_stream(spark, gold, tmp_path):
     assert cdc.has_data(gold, None).first().HAS_DATA is True
 
 
+def test_the_gate_reads_no_data_file(spark, gold, tmp_path):
+    staged, landing, checkpoint = (str(tmp_path / n) for n in ("staged", "l +% x", "c2"))
+    table, runs = KeyedTable(spark, str(tmp_path / "t")), str(tmp_path / "runs")
+    gold.write.parquet(f"{staged}/a")
+    ingest.load_by_name(spark, staged, landing, str(tmp_path / "c1"), GOLD)
+    assert cdc.triggered_upsert(spark, landing, table, checkpoint, runs)
+    assert not cdc.triggered_upsert(spark, landing, table, checkpoint, runs)
+    gold.limit(3).write.parquet(f"{staged}/b")
+    ingest.load_by_name(spark, staged, landing, str(tmp_path / "c1"), GOLD)
+    [new] = [f for f in (tmp_path / "l +% x").rglob("*.parquet") if "LOAD=000000000001" in str(f)]
+    held = new.read_bytes()
+    new.write_bytes(b"x" * len(held))  # what can't be read can still be pending
+    (new.parent / f".{new.name}.crc").unlink()
+    assert cdc.has_pending(spark, landing, checkpoint)
+    new.write_bytes(held)
+    assert cdc.triggered_upsert(spark, landing, table, checkpoint, runs)
+    assert [r.SOURCE_ROWS for r in cdc.run_history(spark, runs).collect()] == [3, gold.count()]
+
+
 def test_upsert_at_an_interval_until_stopped(spark, gold, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"))
     args = (spark, str(tmp_path / "landing"), table, str(tmp_path / "c2"), str(tmp_path / "runs"))

@@ -1,6 +1,7 @@
 """Standardising, payloads and their way back."""
 
 import json
+import hashlib
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,7 @@ from goldrec.operators import payload as p
 from goldrec.operators.standardize import Pick, explode_results, flatten_providers, standardised_count
 from goldrec.plans.provider_view import provider_src
 from goldrec.schemas import ATTRIBUTES, AUDIT, BRONZE, SILVER_COLUMNS
-from goldrec.sources import files
+from goldrec.sources import files, footers
 from goldrec.streaming.ingest import ingest_files, read_bronze
 from tests.conftest import rows
 
@@ -73,6 +74,39 @@ def test_archive_is_byte_for_byte_and_never_overwritten(spark, folder, tmp_path)
     assert files.read_archive(spark, archive).count() == 6
 
 
+def test_a_file_of_more_than_two_gigabytes_is_archived_in_pieces(spark, tmp_path):
+    large = tmp_path / "in" / "large.json"
+    large.parent.mkdir()
+    with large.open("wb") as file:
+        file.write(b"begin")
+        file.truncate(2**31 + 12_345)  # a hole, so that it takes no disk
+        file.seek(0, 2)
+        file.write(b"end")
+    (tmp_path / "in" / "none.json").write_text("")
+    (tmp_path / "in" / "small.json").write_text("é" * 10)
+    files.archive_raw(spark, str(large.parent), str(tmp_path / "archive"), "one")
+    rows_ = spark.read.parquet(str(tmp_path / "archive"))
+    assert rows_.filter("BYTES > 1000").count() == 513 and rows_.agg(F.max(F.length("content"))).first()[0] == files.CHUNK
+    with large.open("rb") as file:
+        digest = hashlib.file_digest(file, "sha256").hexdigest()
+    found = {r.FILE_PATH.rsplit("/", 1)[1]: (r.BYTES, r.SHA256) for r in files.archive_digests(spark, str(tmp_path / "archive")).collect()}
+    assert found["large.json"] == (2**31 + 12_348, digest)
+    assert found["small.json"] == (20, hashlib.sha256(("é" * 10).encode()).hexdigest())
+    texts = {r.FILE_PATH.rsplit("/", 1)[1]: r.RESPONSE for r in files.read_archive(spark, str(tmp_path / "archive")).collect()}
+    assert texts["small.json"] == "é" * 10 and texts["large.json"] is None
+
+
+def test_reports_from_footers(spark, tmp_path):
+    rows_ = spark.createDataFrame([(1, "a", None), (None, "b", None), (3, None, None)], "x int, y string, z string")
+    for n, part in enumerate((rows_, rows_.drop("z"), rows_.filter("x > 2"))):
+        part.write.parquet(str(tmp_path / "layer" / f"p{n}"))
+    layer = spark.read.option("recursiveFileLookup", True).schema("x int, y string, z string, missing string").parquet(str(tmp_path / "layer"))
+    got = footers.footer_null_report(spark, str(tmp_path / "layer"), layer).first()
+    assert [round(v, 6) for v in got] == [round(v, 6) for v in p.null_report(layer).first()]
+    counts = footers.footer_layer_counts(spark, {"one": str(tmp_path / "layer"), "two": str(tmp_path / "layer" / "p2")})
+    assert {r.LAYER: r.TOTAL_RECORDS for r in counts.collect()} == {"one": 7, "two": 1}
+
+
 def test_extract_to_silver(spark, folder, tmp_path):
     stamp = p.BatchStamp(datetime(2026, 6, 28, 18, 25, 28), target_system="MDM")
     assert (stamp.batch_id, stamp.raw_file) == ("BATCH_20260628_182528", "raw_20260628_182528.json")
