@@ -192,7 +192,9 @@ def linked(overlap, n: int, m: int, percent: int = PERCENT):
 
 def _forest(ids: np.ndarray, sets: list[np.ndarray], first: int) -> list[tuple[int, int]]:
     """Links that connect the linked documents; ids before ``first`` and the others are two blocks (0: one)."""
-    order = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.int64)
+    order = np.zeros(0, np.int64)
+    for at in range(0, len(sets), 32):  # sets of a group are much alike, so little is held at once
+        order = np.unique(np.concatenate([order, *sets[at:at + 32]]))
     sizes = np.array([len(s) for s in sets], np.int64)
     shared_count = np.zeros((len(ids), len(ids)), np.int32)
     for at in range(0, len(order), 4096):  # a slice of the shingles at a time
@@ -231,7 +233,8 @@ def block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     def run(rows):
         rows = rows.sort_by("own")
         own, ids = rows.column("own").to_numpy(), rows.column("doc_id").to_numpy()
-        sets_ = [np.concatenate([_numbers(f) + (k << 48) for k, f in enumerate(x)]) for x in rows.column("fragments").to_pylist()]
+        column = rows.column("fragments")
+        sets_ = [np.concatenate([_numbers(f) + (k << 48) for k, f in enumerate(column[i].as_py())]) for i in range(len(column))]
         found = _forest(ids, sets_, int((own != own[-1]).sum()))
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 

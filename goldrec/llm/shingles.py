@@ -76,10 +76,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
             continue
         lengths = np.diff(np.append(starts, len(part)))  # with the blanks behind
         place = np.arange(starts[0], len(part)) - np.repeat(starts, lengths)
-        powers = np.full(int(place.max()) + 1, _ODD)
-        powers[0] = U(1)
-        powers = np.cumprod(powers, dtype=U)
-        value = np.where(word[starts[0]:], FOLDED[part[starts[0]:]] * powers[place], U(0))
+        # a factor of its own for each place: with powers of one number, some long words would always collide
+        factors = mix(np.arange(int(place.max()) + 1, dtype=U) + U(1)) | U(1)
+        value = np.where(word[starts[0]:], FOLDED[part[starts[0]:]] * factors[place], U(0))
         hashes.append(mix(np.add.reduceat(value, starts - starts[0])))
         all_starts.append(starts + at)
     return np.concatenate(hashes), np.searchsorted(np.concatenate(all_starts), offsets)

@@ -93,3 +93,11 @@ def test_parts_of_a_batch_dont_matter(monkeypatch):
     for step in (1, 7, 50):
         monkeypatch.setattr(shingles, "STEP", step)
         assert [s.tolist() for s in shingles.shingle_sets(texts)] == whole
+
+
+def test_long_words_that_differ_differ(spark):
+    """A word of two letters in the order of its digit sums and its complement: equal under powers of any odd number."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(4_096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(i, w + " " + tail) for i, (w, tail) in enumerate((w, t) for t in ("", "x y", "a b c d e f") for w in (word, other))], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.near_duplicates(docs).collect())) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
