@@ -5,12 +5,14 @@ the slots of a source are ranked, and rank r takes the r-th block of that source
 stream is the source's documents in hash order, cut into blocks of equally many words, and runs
 twice, in a new order the second time. So any stretch of the mix has the wanted shares.
 
-The number of slots is a parameter and doesn't grow with the data; the block size does. What a
-source takes doesn't depend on it: it has as many slots as its target fills, the last of them in
-part. Points that a source has too many go unused, those that it lacks (a few per source) follow at
-the end of the mix. Each source with words takes its target, rounded, and one word at least. Places in
-a stream are sums over hash buckets plus a running sum within a bucket, so a source of any size is
-spread over ``BUCKETS`` groups.
+A block is ``BLOCK`` words, so the slots grow with the words. The points say in which order the blocks
+come, and with them the documents: the report has the slot at which a row's first words come, and
+the documents of the mix are written in the order of their slots. A source has as many slots as its
+target fills, the last of them in part. Points that a source has too many go unused, those that it
+lacks (a few per source) follow at the end of the mix. Each source with words takes its target, rounded,
+and one word at least. Places in a stream are sums over hash buckets plus a running sum within a
+bucket of about ``BUCKET_ROWS`` rows, and ranks of slots are counted in runs of ``RUN`` slots, so a source of
+any size is spread.
 
 Targets: sources by code point (null last) weigh 5, 2, 1, repeating, and share ``share`` times all
 words; a target stops at ``most`` times the words of its source and the excess is shared by weight
@@ -20,6 +22,7 @@ ids and repeated rows are placed one by one and may take unlike amounts. Other c
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from operator import and_
 
@@ -30,7 +33,7 @@ from goldrec.llm.common import written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
-SLOTS, BUCKETS = 262_144, 512
+BLOCK, BUCKET_ROWS, RUN = 1_024, 20_000, 65_536
 #: Fractional part of the golden ratio, in units of 2**-32: the next slot's point is so far ahead.
 GOLDEN = 2_654_435_769
 ROW = ("doc_id", "source", "size", "digest")
@@ -66,9 +69,11 @@ def targets(sizes: DataFrame, share: float = SHARE, most: int = MOST) -> DataFra
 
 def streams(documents: DataFrame, passes: int = MOST) -> DataFrame:
     """row columns, pass (0, 1), offset: where each document begins in its source's stream."""
-    rows = documents.select("*", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass"))
+    buckets = documents.groupBy("source").agg(F.ceil(F.count("*") / BUCKET_ROWS).cast("int").alias("n")).select(F.col("source").alias("c"), "n")
+    rows = documents.join(buckets, F.col("source").eqNullSafe(F.col("c"))).drop("c")
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass"))
     rows = rows.withColumn("order", F.xxhash64("pass", "doc_id", "digest")).withColumn(
-        "bucket", F.pmod(F.shiftright("order", 32), F.lit(BUCKETS)).cast("int"))
+        "bucket", F.pmod(F.shiftright("order", 32), F.col("n")).cast("int")).drop("n")
     sums = rows.groupBy("source", "pass", "bucket").agg(F.sum("size").alias("words"))
     ahead = F.sum("words").over(
         Window.partitionBy("source").orderBy("pass", "bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -81,6 +86,12 @@ def streams(documents: DataFrame, passes: int = MOST) -> DataFrame:
             .withColumn("offset", F.col("ahead") + F.col("running")).drop("s", "p", "b", "ahead", "running", "order", "bucket"))
 
 
+def blocks(goals: DataFrame, slots: int | None = None) -> tuple[int, float]:
+    """How many slots there are, and the words of a block: ``BLOCK``, or what a given number of slots makes of it."""
+    total = goals.agg(F.sum("target")).first()[0] or 0.0
+    return (slots, max(1.0, total / slots)) if slots else (math.ceil(total / BLOCK), float(BLOCK))
+
+
 def words_wanted() -> Column:
     """The words that a source takes: its target, rounded, and one at least; 0 without a target."""
     return F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round("target"))).otherwise(0).cast("long")
@@ -88,7 +99,8 @@ def words_wanted() -> Column:
 
 def schedule(goals: DataFrame, slots: int | None = None) -> DataFrame:
     """slot, source, rank (of the slot within its source), block (words): the mix, in order."""
-    spark, slots = goals.sparkSession, slots or SLOTS
+    spark = goals.sparkSession
+    n_slots, words = blocks(goals, slots)
     ordered = Window.orderBy(F.col("source").isNull(), "source")
     total = F.sum("target").over(Window.partitionBy())
     shares = goals.where("target > 0").select(
@@ -100,19 +112,25 @@ def schedule(goals: DataFrame, slots: int | None = None) -> DataFrame:
     cells = 1_024
     shares = shares.select("*", F.explode(F.sequence(
         F.floor(F.col("above") * cells).cast("int"), F.least(F.floor(F.col("upto") * cells), F.lit(cells - 1)).cast("int"))).alias("cell"))
-    points = spark.range(slots).select("id", point.alias("point"), F.floor(point * cells).cast("int").alias("cell"))
+    points = spark.range(n_slots).select("id", point.alias("point"), F.floor(point * cells).cast("int").alias("cell"))
     hit = points.join(shares, "cell").where((F.col("id") < F.col("total")) & (F.col("point") >= F.col("above")) & (F.col("point") < F.col("upto")))
-    hit = hit.select(F.col("id").alias("slot"), "source", F.row_number().over(Window.partitionBy("source").orderBy("id")).cast("long").alias("rank"))
-    block = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / slots)
-    needs = goals.where("target > 0").select(F.col("source").alias("s"), block.alias("block"), words_wanted().alias("wanted"))
+    hit = hit.select(F.col("id").alias("slot"), "source", F.floor(F.col("id") / RUN).alias("run"))
+    # a slot's rank is its place in its run and the source's slots in the runs before
+    counts = hit.groupBy("source", "run").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("run").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(F.col("source").alias("s"), F.col("run").alias("r"), F.coalesce(before, F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("source", "run").orderBy("slot"))
+    hit = hit.withColumn("place", place).join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r"))).select(
+        "slot", "source", (F.col("before") + F.col("place")).cast("long").alias("rank"))
+    needs = goals.where("target > 0").select(F.col("source").alias("s"), F.lit(words).alias("block"), words_wanted().alias("wanted"))
     # blocks that begin before the last wanted word
     needs = needs.withColumn("need", F.floor((F.col("wanted") - 1) / F.col("block")) + 1)
     own = hit.join(needs, F.col("source").eqNullSafe(F.col("s"))).where("rank <= need").select("slot", "source", "rank", "block")
-    have = hit.groupBy("source").agg(F.count("*").alias("have"))
+    have = counts.groupBy("source").agg(F.sum("n").alias("have"))
     lacking = needs.join(have, F.col("source").eqNullSafe(F.col("s")), "left").withColumn("have", F.coalesce("have", F.lit(0))).where("have < need")
     lacking = lacking.select(F.col("s").alias("source"), F.explode(F.sequence(F.col("have") + 1, F.col("need"))).alias("rank"), "block")
     at = F.row_number().over(Window.orderBy("rank", F.col("source").isNull(), "source"))
-    return own.unionByName(lacking.select((at - 1 + slots).cast("long").alias("slot"), "source", "rank", "block"))
+    return own.unionByName(lacking.select((at - 1 + n_slots).cast("long").alias("slot"), "source", "rank", "block"))
 
 
 def prepared(documents: DataFrame, *keep: str) -> DataFrame:
@@ -127,11 +145,10 @@ def mixture(rows: DataFrame, slots: int | None = None, share: float = SHARE, mos
     slot that takes words of the document in that pass, in all passes a leading part of it. Slot is
     null and taken 0 where the schedule ends before the document.
     """
-    slots = slots or SLOTS
-    goals = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, most)
+    goals = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, most).coalesce(1), "goals")
+    words_of_block = blocks(goals, slots)[1]
     plan = schedule(goals, slots).select("slot", F.col("source").alias("s"), F.col("rank") - 1, "block").toDF("slot", "s", "nth", "b")
-    block = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / slots)
-    goals = goals.select(F.col("source").alias("g"), "source_size", "target", block.alias("block"), words_wanted().alias("wanted"))
+    goals = goals.select(F.col("source").alias("g"), "source_size", "target", F.lit(words_of_block).alias("block"), words_wanted().alias("wanted"))
     placed = streams(rows, most).join(goals, F.col("source").eqNullSafe(F.col("g"))).drop("g")
     first = F.greatest(F.floor(F.col("offset") / F.col("block")) - 1, F.lit(0))
     last = F.floor((F.col("offset") + F.col("size")) / F.col("block")) + 1
@@ -149,33 +166,35 @@ def mixture(rows: DataFrame, slots: int | None = None, share: float = SHARE, mos
 
 
 def takes(documents: DataFrame, label: str = "mix") -> DataFrame:
-    """doc_id, source, size, digest, source_size, target, nth, pass, taken: one row per row and pass.
+    """doc_id, source, size, digest, source_size, target, nth, pass, slot, taken: one row per row and pass.
 
-    A row's pieces meet again by id, source and text. Rows that repeat in full are told apart by
-    ``nth``, from 0, and share what they take, whole documents first.
+    A row's pieces meet again by id, source and text; ``slot`` is the first that takes words of it.
+    Rows that repeat in full are told apart by ``nth``, from 0, and share what they take, whole
+    documents first.
     """
     rows = written(prepared(documents), label)  # read several times below, the texts once
     copies = rows.groupBy(*ROW).agg(F.count("*").alias("copies")).toDF(*(f"r_{c}" for c in ROW), "copies")
-    per = mixture(rows).groupBy(*ROW, "source_size", "target", "pass").agg(F.sum("taken").alias("all"))
+    per = mixture(rows).groupBy(*ROW, "source_size", "target", "pass").agg(F.sum("taken").alias("all"), F.min("slot").alias("slot"))
     per = per.join(copies, reduce(and_, (F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in ROW)))
-    per = per.select(*ROW, "source_size", "target", "pass", "all", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth"))
+    per = per.select(*ROW, "source_size", "target", "pass", "slot", "all", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("nth"))
     own = F.greatest(F.lit(0), F.least("size", F.col("all") - F.col("nth") * F.col("size")))
     return per.withColumn("taken", own.cast("long")).drop("all")
 
 
 def mix_report(documents: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row per row of the input."""
-    return (takes(documents).groupBy(*ROW, "source_size", "target", "nth").agg(F.sum("taken").alias("taken"))
-            .select("doc_id", "size", "source_size", "target", "taken"))
+    """doc_id, size, source_size, target, taken, slot (where its first words come; null without any): one row per row of the input."""
+    first = F.min(F.when(F.col("taken") > 0, F.col("slot"))).alias("slot")
+    return (takes(documents).groupBy(*ROW, "source_size", "target", "nth").agg(F.sum("taken").alias("taken"), first)
+            .select("doc_id", "size", "source_size", "target", "taken", "slot"))
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The mix as documents: a row for each pass that takes words of a row, with the words it takes.
+    """The mix as documents, in the order of their slots: a row for each pass that takes words of a row, with the words it takes.
 
     The columns are those of the input, n_chars is counted anew. A document taken whole keeps its
     text; the last one of its source may give a leading part, its words one blank apart.
     """
-    part = takes(documents).where("taken > 0").select(*(F.col(c).alias(f"t_{c}") for c in ROW), F.col("nth").alias("t_nth"), "taken")
+    part = takes(documents).where("taken > 0").select(*(F.col(c).alias(f"t_{c}") for c in ROW), F.col("nth").alias("t_nth"), F.col("slot").alias("t_slot"), "taken")
     keys = ["doc_id", "source", "digest", "size"]
     rows = documents.withColumn("digest", F.xxhash64("text")).withColumn("size", word_count(F.col("text")))
     rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1))) - 1)
@@ -185,4 +204,6 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     met = met.withColumn("text", text)
     if "n_chars" in documents.columns:
         met = met.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return met.select(*documents.columns)
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_order = met.select(*documents.columns, F.col("t_slot").alias("_slot")).repartitionByRange(tasks, "_slot").sortWithinPartitions("_slot")
+    return in_order.drop("_slot")

@@ -23,9 +23,11 @@ def brute_targets(sizes):
         full |= {s: 2.0 * sizes[s] for s in above}
 
 
-@pytest.mark.parametrize("slots", [mixing.SLOTS, 500])
-def test_targets_and_what_is_taken(documents, monkeypatch, slots):
-    monkeypatch.setattr(mixing, "SLOTS", slots)
+@pytest.mark.parametrize("block", [mixing.BLOCK, 7])
+def test_targets_and_what_is_taken(documents, monkeypatch, block):
+    monkeypatch.setattr(mixing, "BLOCK", block)
+    monkeypatch.setattr(mixing, "RUN", 100)
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 9)
     rows = mixing.mix_report(documents).collect()
     source = {r["doc_id"]: r["source"] for r in documents.collect()}
     text = {r["doc_id"]: r["text"] for r in documents.collect()}
@@ -80,7 +82,7 @@ def test_odd_rows(odd, clashing, empty):
     assert mixing.mix_report(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
 
 
-@pytest.mark.parametrize("slots", [mixing.SLOTS, 64])
+@pytest.mark.parametrize("slots", [None, 64])
 def test_each_of_many_tiny_sources_takes_its_target(spark, slots):
     """One huge source and 60 of less than a block; and a null one."""
     words = [("huge", i, 2_000) for i in range(50)] + [(f"s{i:02}", 100 + i, 3 + i) for i in range(60)] + [(None, 200, 7)]
@@ -94,7 +96,30 @@ def test_each_of_many_tiny_sources_takes_its_target(spark, slots):
     assert all(0 <= r["taken"] <= r["size"] for r in per)
 
 
-def test_slots_can_be_set(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "SLOTS", 500)
-    goals = spark.createDataFrame([("a", 9_000, 9_000.0), ("b", 1_000, 1_000.0)], "source string, source_size long, target double")
-    assert mixing.schedule(goals).count() == 500
+def test_blocks_stay_and_slots_grow(spark, monkeypatch):
+    goals = spark.createDataFrame([("a", 9_000, 90_000.0), ("b", 1_000, 10_000.0)], "source string, source_size long, target double")
+    assert mixing.blocks(goals) == (98, 1_024.0) and mixing.blocks(goals, 500) == (500, 200.0)
+    want = {tuple(r) for r in mixing.schedule(goals, 500).collect()}
+    assert len(want) == 500
+    monkeypatch.setattr(mixing, "RUN", 7)  # ranks are counted in runs
+    assert {tuple(r) for r in mixing.schedule(goals, 500).collect()} == want
+    ranks = sorted((r[1], r[0], r[2]) for r in want)
+    assert all(x[2] + 1 == y[2] for x, y in zip(ranks, ranks[1:]) if x[0] == y[0])
+
+
+def test_the_points_decide_the_order(documents, monkeypatch):
+    """With the points in plain order the mix is another one; with its own, any stretch of it has the wanted shares."""
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    rows = mixing.mix_report(documents).collect()
+    source = {r["doc_id"]: r["source"] for r in documents.collect()}
+    slots = mixing.schedule(mixing.targets(mixing.prepared(documents).groupBy("source").agg(F.sum("size").alias("source_size")))).orderBy("slot").collect()
+    goal = {source[r["doc_id"]]: r["target"] for r in rows}
+    whole = sum(goal.values())
+    for at in range(0, len(slots) - 400, 211):
+        part = [r["source"] for r in slots[at:at + 400]]
+        for s, t in goal.items():
+            assert abs(part.count(s) / 400 - t / whole) < 0.02
+    mixed = [r["doc_id"] for r in mixing.mixed_documents(documents).collect()]
+    monkeypatch.setattr(mixing, "GOLDEN", 1)
+    assert {(r["doc_id"], r["slot"]) for r in mixing.mix_report(documents).collect()} != {(r["doc_id"], r["slot"]) for r in rows}
+    assert [r["doc_id"] for r in mixing.mixed_documents(documents).collect()] != mixed
