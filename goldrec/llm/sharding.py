@@ -8,7 +8,10 @@ shards are added.
 
 Only counts decide where an arc of the ring overflows. They are one number per virtual node, so
 the walk runs on ``shards * virtual`` counts whatever the size of the table. Rows are then ranked
-within their arc, and a rank range of an arc is one shard's.
+within their arc, and a rank range of an arc is one shard's. An arc is cut into slices of about
+``SLICE_ROWS`` rows by a hash of the rows' content, and a rank is the rows of the slices before plus the place in
+the slice; rows that repeat in full are counted into one and written out again in blocks. So one id, or no
+id, on a third of all rows is spread like any other.
 
 Null texts have size 16 and the checksum 0; a null id has the hash of no value. Rows that repeat
 are placed one by one. An empty table gives no rows. Other columns are ignored.
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 
 from goldrec.llm.common import first_at_least, literal_rows
 
-SHARDS, VIRTUAL = 40, 100
+SHARDS, VIRTUAL, SLICE_ROWS = 40, 100, 100_000
 
 
 def ring(shards: int, virtual: int) -> list[tuple[int, int]]:
@@ -85,14 +88,31 @@ def shard_rows(documents: DataFrame, shards: int = SHARDS, virtual: int = VIRTUA
     plan = literal_rows(spark, ranges, "arc int, begin bigint, end bigint, shard int, base bigint")
 
     rows = documents.select(
-        "doc_id", arc.alias("arc"), F.xxhash64("doc_id").alias("at"),
+        "doc_id", arc.alias("arc"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
-    in_arc = Window.partitionBy("arc").orderBy("at", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", F.row_number().over(in_arc) - 1).alias("r")
+    row = ["arc", "doc_id", "size", "text_crc32"]
+    rows = rows.groupBy(*row).agg(F.count("*").alias("copies"))
+    slices = literal_rows(spark, [{"arc": a, "slices": -(-n // SLICE_ROWS)} for a, n in enumerate(counts) if n], "arc int, slices int")
+    at = F.xxhash64("doc_id", "size", "text_crc32")
+    rows = rows.join(F.broadcast(slices), "arc").withColumn("slice", F.pmod(F.shiftright(at, 20), F.col("slices")).cast("int"))  # one row per arc
+    before = (Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("arc", "slice").agg(F.sum("copies").alias("n"))
+    start = F.sum("n").over(Window.partitionBy("arc").orderBy("slice").rowsBetween(*before))
+    starts = sizes.select("arc", "slice", F.coalesce(start, F.lit(0)).alias("start"))
+    inside = F.sum("copies").over(Window.partitionBy("arc", "slice").orderBy(at, *row[1:]).rowsBetween(*before))
+    ranked = rows.withColumn("place", F.coalesce(inside, F.lit(0))).join(starts, ["arc", "slice"]).select(
+        *row, (F.col("start") + F.col("place")).alias("first"), (F.col("start") + F.col("place") + F.col("copies")).alias("last")).alias("r")
     plan = F.broadcast(plan).alias("p")  # at most shards * virtual * 2 ranges
-    inside = (F.col("r.arc") == F.col("p.arc")) & (F.col("rank") >= F.col("begin")) & (F.col("rank") < F.col("end"))
-    return ranked.join(plan, inside).select(
+    met = (F.col("r.arc") == F.col("p.arc")) & (F.col("first") < F.col("end")) & (F.col("last") > F.col("begin"))
+    since, until = F.greatest("first", "begin"), F.least("last", "end")
+    blocks = ranked.join(plan, met).select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("base") + since - F.col("begin")).alias("slot"), (until - since).alias("n"),
+    ).select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / SLICE_ROWS))).alias("block"))
+    done = F.col("block") * SLICE_ROWS
+    own = blocks.select(
+        "doc_id", "size", "text_crc32", "shard", (F.col("slot") + done).alias("from"), F.least(F.col("n") - done, F.lit(SLICE_ROWS)).alias("n"))
+    return own.select(
         "doc_id", "size", "text_crc32", F.lit("rows" if slack == 0 else "bounded").alias("law"), "shard",
-        (F.col("base") + F.col("rank") - F.col("begin")).cast("long").alias("slot"),
+        F.explode(F.sequence("from", F.col("from") + F.col("n") - 1)).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))

@@ -65,6 +65,23 @@ def test_binary_search(spark):
     assert all(r["at"] == sum(p < r["id"] for p in points) for r in rows)
 
 
+def test_one_id_on_a_third_of_all_rows(spark, monkeypatch):
+    """Rows without an id, of different and of equal texts: in slices, blocks and every shard."""
+    monkeypatch.setattr(sharding, "SLICE_ROWS", 50)
+    hot = spark.range(1_000).select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") < 600, F.col("id").cast("string")).otherwise("same").alias("text"))
+    rows = spark.range(2_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).unionByName(hot)
+    got = sharding.shard_rows(rows).collect()
+    check(got, 3_000)
+    assert Counter((r["doc_id"], r["text_crc32"]) for r in got) == Counter((r["doc_id"], zlib.crc32(r["text"].encode())) for r in rows.collect())
+    assert found(sharding.shard_rows(rows.repartition(7))) == found(sharding.shard_rows(rows))
+    plan = sharding.shard_rows(rows)._jdf.queryExecution().toString()
+    assert "windowspecdefinition(arc#" in plan and "slice#" in plan
+
+
+def test_empty_table_with_slack(empty):
+    assert sharding.shard_rows(empty, slack=0.3).collect() == []
+
+
 def test_odd_rows(odd, clashing, empty):
     check(sharding.shard_rows(odd).collect(), 13)
     assert found(sharding.shard_rows(clashing)) == found(sharding.shard_rows(odd))
