@@ -9,7 +9,8 @@ Equal bounds go on, since a tie goes to the smaller id. The best of the blocks a
 
 Vectors that are null, empty, or hold a null or non-finite component take no part, neither do rows
 without an id. Vectors of unlike length aren't compared. Repeated ids each count as a candidate;
-a query finds no row with its own id.
+a query finds no row with its own id. Scaled components, and scores, beyond what a long holds count as
+the largest one. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,11 +23,14 @@ from pyspark.sql import functions as F
 
 VECTORS, QUERIES = 4_096, 1_024
 FIRST, GROWTH = 16, 4
+#: Components and scores beyond it count as this.
+LARGEST = 2**63 - 1024
 
 
 def scaled(vector: Column, factor: int = 256) -> Column:
     """Whole numbers floor(factor * x), with x as double."""
-    return F.transform(vector, lambda x: F.floor(factor * x.cast("double")).cast("long"))
+    wide = F.lit(float(LARGEST))
+    return F.transform(vector, lambda x: F.floor(F.greatest(-wide, F.least(wide, factor * x.cast("double")))).cast("long"))
 
 
 def usable(vector: Column) -> Column:
@@ -41,7 +45,7 @@ def block_top(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queri
     by_value = np.argsort(vectors, axis=0, kind="stable")
     sorted_values = np.take_along_axis(vectors, by_value, axis=0)
     # scores are whole numbers; doubles hold them exactly up to 2**53
-    exact = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * dims < 2**53
+    exact = float(np.abs(vectors.astype(np.float64)).max(initial=0)) * float(np.abs(queries.astype(np.float64)).max(initial=0)) * dims < 2**53
     matrix = vectors.astype(np.float64) if exact else vectors.astype(object)
     columns = np.arange(dims)
     out = []
@@ -96,7 +100,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, id_column: str = "vec_
         if a.num_rows and b.num_rows:
             (ids, rows), (query_ids, query_rows) = (
                 (t.column("id").to_numpy(), pc.list_flatten(t.column("v")).to_numpy().reshape(t.num_rows, -1)) for t in (a, b))
-            found = block_top(ids, rows, query_ids, query_rows, k)
+            found = [(q, i, max(-LARGEST, min(LARGEST, s))) for q, i, s in block_top(ids, rows, query_ids, query_rows, k)]
         return pa.table({name: pa.array([x[i] for x in found], pa.int64()) for i, name in enumerate(("query_id", "vec_id", "score"))})
 
     near = left.cogroup(right).applyInArrow(run, "query_id long, vec_id long, score long")

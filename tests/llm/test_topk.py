@@ -37,6 +37,12 @@ def test_odd_vectors(spark):
     assert topk.nearest(df.limit(0)).collect() == []
 
 
+def test_very_large_components_count_as_the_largest(spark):
+    rows = [(0, [1e17, 1.0]), (1, [1e300, 0.0]), (2, [-1e17, 5.0]), (3, [2.0, 0.0])]
+    got = found(topk.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")))
+    assert [r[2] for r in got] == [1, 3, 2] and got[0][3] == topk.LARGEST and got[2][3] == -topk.LARGEST
+
+
 def test_large_numbers_stay_exact():
     import numpy as np
 
