@@ -5,8 +5,8 @@ n-grams of the padded word, the longest first: the first length of which at leas
 n-grams are known gives the word's score, the mean of their log frequencies.
 
 The classifier is fitted on about ``fit_rows`` of the labelled rows, chosen by the hash of their
-text, and keeps at most ``max_words`` words and ``max_grams`` n-grams, the most frequent, so the
-model has a size bound of its own and is sent to every task. Every row is then predicted.
+text, and keeps at most ``max_words`` words and ``max_grams`` n-grams of each language, the most
+frequent there, and is sent to every task. Every row is then predicted.
 
 A null text, or one without a letter, is ``und`` with score 0. Without any labelled row everything
 is ``und``. Ties go to the language that comes first by code point. Repeated rows each get their
@@ -20,17 +20,24 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
+#: Letters with the marks that some scripts set on them; texts without such marks don't need it.
+MARKED, HIGH = regex.compile(r"\p{L}[\p{L}\p{M}]*"), re.compile("[\u0300-\U0010ffff]")
 LONGEST = 5
-FIT_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 60_000, 60_000
+FIT_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 20_000, 20_000
 UNKNOWN = "und"
 
 
 def words_of(text: str) -> Counter:
-    return Counter(WORD.findall(text.lower()))
+    text = text.lower()
+    seen = Counter((MARKED if HIGH.search(text) else WORD).findall(text))
+    for w in [w for w in seen if not w.isalpha() and not any(c.isalpha() for c in w)]:
+        del seen[w]  # raised digits and fractions are no letters
+    return seen
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -145,10 +152,10 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = MAX_WORD
     if share < 1:
         usable = usable.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < round(share * 1_000_000))
     counts = unit_counts(usable)
-    total = counts.groupBy("kind", "unit").agg(F.sum("n").alias("total")).where((F.col("total") > 1) | (F.col("kind") == 1))
-    top_words = total.where("kind = 0").orderBy(F.desc("total"), "unit").limit(max_words)
-    top_grams = total.where("kind > 0").orderBy(F.desc("total"), "unit").limit(max_grams)
-    kept = counts.join(top_words.unionByName(top_grams).drop("total"), ["kind", "unit"])
+    often = Window.partitionBy("lang", F.col("kind") > 0).orderBy(F.desc("n"), "kind", "unit")
+    most = F.when(F.col("kind") > 0, max_grams).otherwise(max_words)
+    top = counts.where((F.col("n") > 1) | (F.col("kind") == 1)).withColumn("nth", F.row_number().over(often)).where(F.col("nth") <= most)
+    kept = counts.join(top.select("kind", "unit").distinct(), ["kind", "unit"])
     found = kept.select("lang", "kind", "unit", "n").orderBy("kind", "unit", "lang").toArrow()
     return Model(list(zip(*(found.column(c).to_pylist() for c in found.column_names))))
 

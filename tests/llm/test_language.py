@@ -55,3 +55,33 @@ def test_odd_rows(odd, clashing, empty):
     assert found(language.identify(clashing)) == rows
     assert language.identify(empty).collect() == []
     assert {r["lang_pred"] for r in language.predict(odd, language.fit(empty), ["doc_id"]).collect()} == {"und"}
+
+
+def test_letters_and_marks(sixty):
+    """Raised digits and fractions are no letters; marks belong to the letter before."""
+    model = language.fit(sixty.limit(100))
+    scorer = language.Scorer(model)
+    for text in ("²³", "½ ² 12", "_ 7", "  "):
+        assert scorer.predict(text) == ("und", 0.0)
+    assert scorer.predict("x²")[0] != "und"
+    assert set(language.words_of("नमस्ते दुनिया e\u0301t")) == {"नमस्ते", "दुनिया", "e\u0301t"}
+
+
+def test_a_small_language_keeps_its_words(spark):
+    rows = [("big", " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3_000)))] * 5 + [("small", "kvik kvik blom blom")]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    model = language.fit(df, max_words=50, max_grams=50)
+    assert {"kvik", "blom"} <= set(model.units[0])
+    assert language.Scorer(model).predict("blom kvik")[0] == "small"
+
+
+def test_whole_texts_equal_brute_force(sixty):
+    """Prediction and score of whole texts from the model's word scores, one word at a time."""
+    model = language.fit(sixty.limit(300))
+    scorer = language.Scorer(model)
+    for r in sixty.select("text").limit(40).collect():
+        total = sum((model.word(w).astype(float) for w in re.findall(r"[^\W\d_]+", r["text"].lower())), 0.0)
+        lang, score = scorer.predict(r["text"])
+        best = max(range(len(model.langs)), key=lambda i: total[i])
+        assert lang == model.langs[best]
+        assert score == pytest.approx(1 / sum(math.exp(t - total[best]) for t in total), rel=1e-3)
