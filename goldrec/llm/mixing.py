@@ -33,7 +33,7 @@ from goldrec.llm.common import written
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2
-BLOCK, BUCKET_ROWS, RUN = 1_024, 20_000, 65_536
+BLOCK, BUCKET_ROWS, RUN = 1_024, 2_000, 65_536
 #: Fractional part of the golden ratio, in units of 2**-32: the next slot's point is so far ahead.
 GOLDEN = 2_654_435_769
 ROW = ("doc_id", "source", "size", "digest")
