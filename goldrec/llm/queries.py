@@ -10,6 +10,7 @@ from goldrec.llm import (
     alignment, bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk, toxicity, trie,
 )
 from goldrec.llm.common import prepare, table
+from goldrec.llm.oracles import ORACLES  # noqa: F401
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,5 +79,3 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_top_k, op3_quality, op4_jaccard_join, op5_suffix_dedup, op6_bpe, op7_sharding, op8_mixing, op9_licences, op10_order_minhash,
     op11_prefix_trie, op12_alignment, op13_toxicity)}
-
-ORACLES: dict[str, str] = {}
