@@ -37,13 +37,19 @@ def batch_presence(spark: SparkSession, table: str, batch_id: str) -> int:
     return spark.table(table).filter(F.col("BATCH_ID") == batch_id).count()
 
 
-def known_providers(candidate: DataFrame, gold: DataFrame) -> DataFrame:
+def _held_ids(gold: DataFrame, distinct: bool) -> DataFrame:
+    ids = gold.select("ProviderID").filter("ProviderID IS NOT NULL")
+    return ids if distinct else ids.distinct()
+
+
+def known_providers(candidate: DataFrame, gold: DataFrame, distinct: bool = False) -> DataFrame:
     """Per candidate batch: its distinct ids, how many gold already holds, the verdict.
 
-    Ids are made distinct per batch before they are joined, so a hot id is one row.
+    Ids are made distinct per batch before they are joined, so a hot id is one row. ``distinct``
+    says that ``gold`` is a table of ids that holds each once, so that it isn't shuffled for that.
     """
     ids = candidate.select("BATCH_ID", "ProviderID").distinct()
-    held = gold.select(F.col("ProviderID").alias("_held")).filter("_held IS NOT NULL").distinct()
+    held = _held_ids(gold, distinct).withColumnRenamed("ProviderID", "_held")
     return (
         ids.join(held, F.col("ProviderID") == F.col("_held"), "left")
         .groupBy("BATCH_ID")
@@ -56,24 +62,25 @@ def gate_providers(
     candidate: DataFrame,
     gold: DataFrame | None,
     mode: str = "skip_batch",
+    distinct: bool = False,
 ) -> DataFrame:
     """Rows that may be appended to gold, out of golden records: one row per id.
 
     ``skip_batch`` holds back every batch that has an id gold knows; ``anti`` appends the
     unseen ids of every batch; ``upsert`` appends all rows, for a keyed table to take the newest
-    of each id. NULL ids are never known.
+    of each id. NULL ids are never known. ``distinct`` as for :func:`known_providers`.
     """
     if mode not in ("skip_batch", "anti", "upsert"):
         raise ValueError(f"unknown gate mode: {mode}")
     if gold is None or mode == "upsert":
         return candidate
     if mode == "anti":
-        held = gold.select("ProviderID").filter("ProviderID IS NOT NULL").distinct()
+        held = _held_ids(gold, distinct)
         # NULL ids cannot match, so they stay out of the shuffle.
         unseen = candidate.filter("ProviderID IS NOT NULL").join(held, "ProviderID", "left_anti")
         missing = candidate.filter("ProviderID IS NULL")
         return unseen.select(*candidate.columns).unionByName(missing)
-    blocked = known_providers(candidate, gold).filter("BLOCKED").select("BATCH_ID")
+    blocked = known_providers(candidate, gold, distinct).filter("BLOCKED").select("BATCH_ID")
     return restrict(candidate, blocked, ["BATCH_ID"], "left_anti")
 
 

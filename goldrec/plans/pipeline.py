@@ -92,7 +92,15 @@ def refine_silver(spark: SparkSession, layout: Layout) -> None:
     each_epoch(spark, layout.at("bronze"), BRONZE, layout.at("checkpoints/silver"), step, layout.pace)
 
 
-def decide(rows: DataFrame, held: DataFrame | None, layout: Layout) -> tuple[DataFrame, DataFrame]:
+def known_ids(spark: SparkSession, layout: Layout) -> KeyedTable:
+    """The ids that gold holds, each once, bucketed: the gate brings a batch's ids to them and shuffles none of them."""
+    ids = T.StructType([T.StructField("ProviderID", T.StringType())])
+    return KeyedTable(spark, layout.at("known"), "ProviderID", ids)
+
+
+def decide(
+    rows: DataFrame, held: DataFrame | None, layout: Layout, distinct: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Golden records of the rows that may be written, and the verdict on each batch.
 
     The gate comes first: a blocked batch takes no part in survivorship, so none of its rows can
@@ -100,8 +108,8 @@ def decide(rows: DataFrame, held: DataFrame | None, layout: Layout) -> tuple[Dat
     """
     if held is None:
         held = rows.select("ProviderID").filter("false")
-    known = known_providers(rows, held)
-    best = golden_record(gate_providers(rows, held, layout.gate), layout.survivorship)
+    known = known_providers(rows, held, distinct)
+    best = golden_record(gate_providers(rows, held, layout.gate, distinct), layout.survivorship)
     best = best.withColumn("LOAD_TIMESTAMP", F.col("LOAD_TIMESTAMP").cast("timestamp_ntz"))
     written = best.groupBy("BATCH_ID").agg(F.count(F.lit(1)).alias("WRITTEN"))
     blocked = F.col("BLOCKED") & F.lit(layout.gate == "skip_batch")
@@ -115,18 +123,20 @@ def decide(rows: DataFrame, held: DataFrame | None, layout: Layout) -> tuple[Dat
 def refine_gold(spark: SparkSession, layout: Layout) -> None:
     """Golden records of the silver rows that gold hasn't taken, behind the provider gate.
 
-    What is compared is gold as of the epochs before, so a repeated epoch decides the same. All that
+    What is compared are the ids as of the epochs before, so a repeated epoch decides the same. All that
     is new is taken at once: a batch in two parts would find its own first part in gold.
     """
 
     def step(rows: DataFrame, epoch: int) -> None:
-        gold = T.StructType([*GOLD.fields, EPOCH])
-        held = None
-        if read_layer(spark, layout.at("gold"), GOLD) is not None:
-            held = spark.read.schema(gold).parquet(layout.at("gold")).filter(F.col("EPOCH") < epoch)
-        best, ledger = decide(rows, held, layout)
+        known = known_ids(spark, layout)
+        if not known.commits() and (gold := read_layer(spark, layout.at("gold"), GOLD)) is not None and epoch > 0:
+            known.merge(gold.select("ProviderID").filter("ProviderID IS NOT NULL"), -1, newest="ProviderID")
+        best, ledger = decide(rows, known.read(until=epoch - 1), layout, distinct=True)
         write_epoch(best, layout.at("gold"), epoch)
         write_epoch(ledger, layout.at("verdicts"), epoch)
+        taken = spark.read.schema(GOLD).parquet(f"{layout.at('gold')}/EPOCH={epoch}").filter("ProviderID IS NOT NULL")
+        known.merge(taken.select("ProviderID"), epoch, newest="ProviderID")
+        known.settle()
 
     each_epoch(spark, layout.at("silver"), SILVER, layout.at("checkpoints/gold"), step)
 

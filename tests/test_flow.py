@@ -436,6 +436,9 @@ def test_pipeline_twice(spark, sf, tmp_path):
     verdicts = pipeline.read_layer(spark, layout.at("verdicts"), pipeline.VERDICTS)
     assert rows(verdicts.filter("VERDICT = 'blocked'"), "BATCH_ID") == rows(gates.batch_list(late))
     assert pipeline.read_layer(spark, layout.at("gold"), GOLD).count() == held.count()
+    known = pipeline.known_ids(spark, layout)
+    assert rows(known.read()) == rows(held.select("ProviderID").filter("ProviderID IS NOT NULL").distinct())
+    assert known.bases()  # settled, so that the gate doesn't shuffle it
     unseen = pipeline.Layout(str(tmp_path / "unseen"), gate="anti")
     models = pipeline.run_all(spark, unseen, processed)
     dim = models["dim_provider"]
