@@ -9,8 +9,8 @@ Only boundaries after a non-blank count as stitches, since the pattern looks ahe
 Where an overlap holds no common boundary (one very long pre-token), the chunks from there on are
 encoded as one piece, so the ids are exact in every case.
 
-Null texts are empty, and empty texts give no ids. Repeated rows and ids each keep their row.
-Other columns are ignored.
+Null texts are empty, and empty texts give no ids. Repeated rows and ids each keep their row. An empty
+table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

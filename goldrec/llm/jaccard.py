@@ -19,7 +19,9 @@ Frequent shingles only change the order, not the links: those found ``OFTEN`` ti
 thousand documents, at most ``MAX_FREQUENT`` of them, go to every task.
 
 A null or blank text has no shingles and links with nothing. A row without an id stays alone, with
-no component. Rows with the same id are one node. Other columns are ignored.
+no component. Rows with the same id are one node; of rows tied as the least of a component there is only
+its id. A very long text is one set, made from a megabyte of words at a time. An empty table gives no rows.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ frequent there, and is sent to every task. Every row is then predicted.
 
 A null text, or one without a letter, is ``und`` with score 0. Without any labelled row everything
 is ``und``. Ties go to the language that comes first by code point. Repeated rows each get their
-row; other columns are ignored.
+row; other columns are ignored. A very long text is counted word by word. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ the notice's mandatory key phrase stands there too. Base phrases are found word
 
 A null or wordless text has no labels and score 0. The score is the largest share of a notice's
 indexed words that agree on one place, 1 where a base phrase stands. Rows that repeat each get
-their row; other columns are ignored.
+their row, and all of them the same; notices that tie are all named. A very long text is one list of words. An empty
+table gives no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ any size is spread.
 Targets: sources by code point (null last) weigh 5, 2, 1, repeating, and share ``share`` times all
 words; a target stops at ``most`` times the words of its source and the excess is shared by weight
 among the others, until none is above. Null and blank texts have no words and take none. Equal
-ids and repeated rows are placed one by one and may take unlike amounts. Other columns are ignored.
+ids and repeated rows are placed one by one and may take unlike amounts; ties of the hash order go by id,
+text and size. A very long text lies in many blocks and is one row of the stream. An empty table gives no
+rows. The report ignores other columns, the documents of the mix keep them.
 """
 
 from __future__ import annotations

@@ -8,6 +8,10 @@ edit distance and not only the sets of k-mers. One hash with bins stands for as
 
 A text shorter than k is one k-mer, an empty one has none. A bin that has no k-mer is blank;
 likeness is the share of equal bins among those that aren't blank in both, 1 for two empty texts.
+
+Null texts are empty. Rows without an id come after all others, rows with one id in the order of their
+texts; repeated rows each keep their row and are one another's next. A very long text is hashed whole, in
+memory of some dozens of bytes a character. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations

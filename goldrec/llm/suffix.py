@@ -20,8 +20,9 @@ have it at the same place. The rounds:
 3. Repeats within one document are found in its own task.
 
 Null texts are empty. A row without an id comes after all others. Rows that share an id aren't
-earlier than each other; what is found in one is kept for its own text, by a digest beside the id.
-Other columns are ignored.
+earlier than each other; what is found in one is kept for its own text, by a digest beside the id; rows
+equal in id and text tie, and none is cut for the other. A very long text is read a megabyte at a time. An
+empty table gives no rows. The report ignores other columns, ``deduplicated`` keeps them.
 """
 
 from __future__ import annotations

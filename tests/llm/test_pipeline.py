@@ -52,4 +52,4 @@ def test_repeated_rows_become_one(spark, odd):
 
 def test_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
