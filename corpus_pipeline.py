@@ -1,4 +1,9 @@
-"""Documents to tokens: quality, near duplicates, repeated passages, mixing, encoding."""
+"""Documents to tokens: quality, near duplicates, repeated passages, mixing, encoding.
+
+Every stage takes documents with nulls anywhere, empty and very long texts, repeated rows, no rows at all and
+further columns, and hands these columns on; what each gives then is said in its operator's module. Rows
+without text go in the first stage; rows without id stay, one by one, until the last.
+"""
 
 from __future__ import annotations
 
