@@ -20,7 +20,7 @@ HEADLINE = [
     "bronze_ingest", "export_log_rows", "mart_state", "mart_summary", "mart_gender",
     "mart_taxonomy", "mart_rules", "mart_dq", "kpi_row", "q14_recent", "q23_license", "q26_top5",
     "q35_state_gender", "latest_rows", "landing_distributions", "load_by_name", "cdc_run",
-    "materialised_models", "layer_counts",
+    "materialised_models", "layer_counts", "merge_written", "mart_incremental", "field_match_score",
 ]
 
 

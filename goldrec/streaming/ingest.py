@@ -166,13 +166,15 @@ def _failed_while_reading(error: Exception) -> bool:
 
 def _broken_pages(spark: SparkSession, groups: Sequence[list[str]], rows: dict[str, int], wire: T.StructType | None) -> set[str]:
     """Files that give fewer rows than their footers say once every column is read."""
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    setting = "spark.sql.files.ignoreCorruptFiles"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
     try:
         read = _staged_rows(spark, groups, wire)
         whole = F.bit_xor(F.xxhash64(*[c for c in read.columns if c not in ("SOURCE_FILE", "LOADED_AT")]))
         counted = read.groupBy("SOURCE_FILE").agg(F.count(F.lit(1)).alias("n"), whole.alias("all")).collect()
     finally:
-        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+        spark.conf.set(setting, before)
     given = {r["SOURCE_FILE"]: r["n"] for r in counted}
     return {path for paths in groups for path in paths if given.get(path, 0) < rows[path]}
 

@@ -14,7 +14,7 @@ from goldrec.plans.provider_view import provider_src
 from goldrec.schemas import BRONZE, EXPORT_LOG, GOLD, GOLD_COLUMNS
 from goldrec.sources import export, files, history, tables
 from goldrec.streaming import cdc, ingest
-from goldrec.streaming.ledger import FileLedger
+from goldrec.streaming.ledger import FileLedger, drain, has_files
 from goldrec.streaming.keyed import KeyedTable, merge_into, newest_per_key, upsert
 from catalog.queries import bronze_rows
 from tests.conftest import rows
@@ -215,6 +215,28 @@ def test_files_of_any_age_and_changed_ones(spark, gold, tmp_path):
     assert ledger.changed().count() == ingest.loaded_files(spark, landing).filter("STATUS = 'CHANGED'").count() == 1
 
 
+def test_a_listing_is_taken_page_by_page(spark, gold, tmp_path):
+    """Files of one time and of others, two at a time; a step that fails is made again under its number."""
+    source = tmp_path / "s"
+    gold.repartition(5).write.parquet(str(source))
+    for n, f in enumerate(sorted(source.glob("*.parquet"))):
+        os.utime(f, (1_000 + n // 3, 1_000 + n // 3))
+    ledger, taken = FileLedger(spark, str(tmp_path / "c")), {}
+
+    def take(files, epoch):
+        if epoch == 2 and 2 not in taken:
+            taken[2] = None
+            raise OSError("no room")
+        taken[epoch] = [f.path for f in files]
+
+    args = (spark, str(source), ledger, take, "*.parquet")
+    with pytest.raises(OSError):
+        drain(*args, page=2)
+    assert drain(*args, page=2) == 1 and drain(*args, page=2) == 0
+    assert [len(taken[e]) for e in sorted(taken)] == [2, 2, 1] and len({f for fs in taken.values() for f in fs}) == 5
+    assert not has_files(spark, str(source), ledger, "*.parquet")
+
+
 def test_many_files_cost_one_probe_and_one_load(spark, gold, tmp_path):
     staged, landing = tmp_path / "s", str(tmp_path / "l")
     gold.repartition(60).write.parquet(str(staged))
