@@ -7,7 +7,7 @@ twice, in a new order the second time. So any stretch of the mix has the wanted
 
 A block is ``BLOCK`` words, so the slots grow with the words. The points say in which order the blocks
 come, and with them the documents: the report has the slot at which a row's first words come, and
-the documents of the mix are written in the order of their slots. A source has as many slots as its
+each task writes its documents of the mix, dealt by a hash, in the order of their slots. A source has as many slots as its
 target fills, the last of them in part. Points that a source has too many go unused, those that it
 lacks (a few per source) follow at the end of the mix. Each source with words takes its target, rounded,
 and one word at least. Places in a stream are sums over hash buckets plus a running sum within a
@@ -191,7 +191,7 @@ def mix_report(documents: DataFrame) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame) -> DataFrame:
-    """The mix as documents, in the order of their slots: a row for each pass that takes words of a row, with the words it takes.
+    """The mix as documents, each task's in the order of their slots: a row for each pass that takes words of a row, with the words it takes.
 
     The columns are those of the input, n_chars is counted anew. A document taken whole keeps its
     text; the last one of its source may give a leading part, its words one blank apart.
@@ -206,6 +206,5 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
     met = met.withColumn("text", text)
     if "n_chars" in documents.columns:
         met = met.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    in_order = met.select(*documents.columns, F.col("t_slot").alias("_slot")).repartitionByRange(tasks, "_slot").sortWithinPartitions("_slot")
+    in_order = met.select(*documents.columns, F.col("t_slot").alias("_slot")).sortWithinPartitions("_slot")
     return in_order.drop("_slot")
