@@ -16,6 +16,7 @@ from goldrec.schemas import BRONZE, RAW
 
 CHUNK = 4 * 2**20  # bytes of a row of the archive
 FILE_ROWS = 16  # rows of a file of the archive
+ENVELOPE_ROWS = 100_000  # rows of an envelope file, some 250 MB of text
 TEXT_LIMIT = 256 * 2**20  # bytes of the largest response that is given as one text
 #: File systems that a task can open without Spark's readers.
 OPENED = ("file", "s3", "gs", "hdfs")
@@ -37,8 +38,12 @@ def read_envelopes(spark: SparkSession, path: str, multiline: bool = False) -> D
 
 
 def write_envelopes(rows: DataFrame, path: str) -> None:
-    """Envelope rows as JSON Lines, so that readers can split the files."""
-    rows.write.mode("append").option("ignoreNullFields", False).json(path)
+    """Envelope rows as gzipped JSON Lines: a payload repeats its field names and methods in every row.
+
+    A gzipped file is read by one task, so none has more than ENVELOPE_ROWS rows.
+    """
+    writer = rows.write.mode("append").option("maxRecordsPerFile", ENVELOPE_ROWS)
+    writer.option("compression", "gzip").option("ignoreNullFields", False).json(path)
 
 
 def open_staged(path: str) -> pa.NativeFile:

@@ -1,5 +1,6 @@
 """Standardising, payloads and their way back."""
 
+import gzip
 import json
 import hashlib
 from datetime import datetime
@@ -125,6 +126,17 @@ def test_extract_to_silver(spark, folder, tmp_path):
     assert silver.filter("ProviderID = '11'").first().FullName is None
 
 
+def test_envelope_files_are_small_and_of_few_rows(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ENVELOPE_ROWS", 200)
+    given = bronze_rows(spark, sf).coalesce(1)
+    files.write_envelopes(given, str(tmp_path / "in"))
+    parts = sorted((tmp_path / "in").glob("part-*"))
+    assert len(parts) >= 8 and all(len(gzip.open(x).read().splitlines()) <= 200 for x in parts)
+    text = given.agg(F.sum(F.octet_length("PROVIDER_JSON"))).first()[0]
+    assert sum(x.stat().st_size for x in parts) < text / 10
+    assert rows(files.read_envelopes(spark, str(tmp_path / "in")), "PROVIDER_JSON", "BATCH_ID") == rows(given, "PROVIDER_JSON", "BATCH_ID")
+
+
 def test_array_files_need_multiline(spark, tmp_path):
     entry = {"PROVIDER_JSON": "{}", "BATCH_ID": "B", "LOAD_DATE": "2026-01-01", "LOAD_TIMESTAMP": "2026-01-01T01:02:03"}
     (tmp_path / "in").mkdir()
