@@ -22,8 +22,8 @@ TABLES = {
 def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """18 attributes, 7 audit columns and the unique ``SRC_KEY``.
 
-    ``heavy`` announces CPU-heavy work per row, for which a scan of few partitions is
-    spread over all task slots.
+    ``heavy`` announces CPU-heavy work per row, for which the joined rows are dealt to tasks whose
+    number grows with the orders; these are counted in the footers.
     """
 
     def read(name: str) -> DataFrame:
@@ -31,11 +31,12 @@ def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataF
 
     orders = read("orders")
     rows = (
-        (spread(orders) if heavy else orders)
-        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    if heavy:
+        rows = spread(rows, orders.count())
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
 
     def missing_every(n: int, value: Column) -> Column:

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+TASK_ROWS = 50_000  # rows of a task that builds or parses payloads
+
 
 def build_session(app: str = "goldrec", **conf: str) -> SparkSession:
     """A session with the settings the operators rely on: UTC and adaptive execution.
@@ -42,11 +44,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a file scan to all task slots before CPU-heavy work: a row group is one scan task.
+def spread(rows: DataFrame, count: int) -> DataFrame:
+    """Deal ``count`` rows, at most about TASK_ROWS to a task, before CPU-heavy work.
 
-    Adaptive execution leaves an explicit number of partitions alone. Rows are dealt by a hash of
-    their content, so that a task that is run again gets the same ones.
+    To be put right before that work: a shuffle between would deal the rows anew, by their bytes, which
+    say nothing of the work. Adaptive execution leaves an explicit number of partitions alone. Rows are
+    dealt by a hash of their content, so that a task that is run again gets the same ones.
     """
-    tasks = int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return scan.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in scan.columns]))
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // TASK_ROWS))
+    return rows.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.queries import bronze_rows, flat_rows
+from goldrec import session
 from goldrec.operators import payload as p
 from goldrec.operators.standardize import Pick, explode_results, flatten_providers, standardised_count
 from goldrec.plans.provider_view import provider_src
@@ -137,6 +138,16 @@ def test_envelope_files_are_small_and_of_few_rows(spark, sf, tmp_path, monkeypat
     assert rows(files.read_envelopes(spark, str(tmp_path / "in")), "PROVIDER_JSON", "BATCH_ID") == rows(given, "PROVIDER_JSON", "BATCH_ID")
 
 
+def test_payload_work_is_dealt_by_rows_after_the_joins(spark, sf, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sizes = [r["count"] for r in bronze_rows(spark, sf).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) >= 25 and max(sizes) < 100
+
+
 def test_array_files_need_multiline(spark, tmp_path):
     entry = {"PROVIDER_JSON": "{}", "BATCH_ID": "B", "LOAD_DATE": "2026-01-01", "LOAD_TIMESTAMP": "2026-01-01T01:02:03"}
     (tmp_path / "in").mkdir()
