@@ -108,7 +108,7 @@ def responses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _write_responses(spark: SparkSession, sf: str, path: str) -> None:
-    responses(spark, sf).write.option("maxRecordsPerFile", 1000).text(path)
+    responses(spark, sf).write.option("maxRecordsPerFile", 1000).option("compression", "gzip").text(path)
 
 
 def flat_rows(spark: SparkSession, sf: str) -> DataFrame:

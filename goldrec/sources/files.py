@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem, LocalFileSystem
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrec.operators.payload import BatchStamp, envelopes
@@ -89,15 +90,41 @@ def archive_raw(spark: SparkSession, source: str, archive: str, run: str, chunk:
     writer.parquet(f"{archive}/run={run}")
 
 
+def _inflated(content: Column) -> Column:
+    """The bytes of gzipped content, of one member or several; NULL if they are more than TEXT_LIMIT."""
+    limit = TEXT_LIMIT
+
+    def run(packed):
+        found, size = [], 0
+        while packed:
+            member = zlib.decompressobj(31)
+            found.append(member.decompress(packed, limit + 1 - size))
+            size += len(found[-1])
+            if size > limit:
+                return None
+            if not member.eof:
+                raise EOFError("gzipped response is cut short")
+            packed = member.unused_data.lstrip(b"\0")  # members may be padded
+        return b"".join(found) if found else packed
+
+    return F.udf(run, "binary")(content)
+
+
 def read_archive(spark: SparkSession, archive: str) -> DataFrame:
-    """Archived responses of all runs as text, next to their origin; NULL for a file of more than TEXT_LIMIT bytes."""
+    """Archived responses of all runs as text, next to their origin; NULL for a file of more than TEXT_LIMIT bytes.
+
+    The archive has the bytes as they came; a gzipped response is inflated here.
+    """
     rows = spark.read.parquet(archive)
     origin = [c for c in rows.columns if c not in ("CHUNK", "content")]
     small = F.col("BYTES") <= TEXT_LIMIT
     parts = F.collect_list(F.when(small, F.struct("CHUNK", F.hex("content").alias("hex"))))
     whole = rows.groupBy(*origin).agg(F.sort_array(parts).alias("_parts"))
-    text = F.decode(F.unhex(F.array_join("_parts.hex", "")), "UTF-8")
-    return whole.select(*origin, F.when(small, text).alias("RESPONSE"))
+    content = F.unhex(F.array_join("_parts.hex", ""))
+    packed = F.col("FILE_PATH").endswith(".gz")
+    # a function of Python sees every row, whatever the branch: the others go to it as NULL
+    content = F.when(packed, _inflated(F.when(packed, content))).otherwise(content)
+    return whole.select(*origin, F.when(small, F.decode(content, "UTF-8")).alias("RESPONSE"))
 
 
 def archive_digests(spark: SparkSession, archive: str) -> DataFrame:

@@ -148,6 +148,21 @@ def test_payload_work_is_dealt_by_rows_after_the_joins(spark, sf, monkeypatch):
     assert len(sizes) >= 25 and max(sizes) < 100
 
 
+def test_gzipped_responses_are_archived_as_they_are_and_read_as_text(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "TEXT_LIMIT", 5_000)
+    text = "".join(f"{n} été\n" for n in range(400))
+    given = {"one.gz": gzip.compress(text.encode()), "two.gz": gzip.compress(b"a") + gzip.compress(b"b"), "empty.gz": gzip.compress(b""),
+             "long.gz": gzip.compress(b"x" * 5_001), "plain.json": text.encode()[:4_000]}
+    (tmp_path / "in").mkdir()
+    for name, content in given.items():
+        (tmp_path / "in" / name).write_bytes(content)
+    files.archive_raw(spark, str(tmp_path / "in"), str(tmp_path / "archive"), "r", chunk=100)
+    found = {r.FILE_PATH.rsplit("/", 1)[1]: r.RESPONSE for r in files.read_archive(spark, str(tmp_path / "archive")).collect()}
+    assert found == {"one.gz": text, "two.gz": "ab", "empty.gz": "", "long.gz": None, "plain.json": text.encode()[:4_000].decode()}
+    kept = {r.FILE_PATH.rsplit("/", 1)[1]: r.SHA256 for r in files.archive_digests(spark, str(tmp_path / "archive")).collect()}
+    assert kept == {name: hashlib.sha256(content).hexdigest() for name, content in given.items()}
+
+
 def test_array_files_need_multiline(spark, tmp_path):
     entry = {"PROVIDER_JSON": "{}", "BATCH_ID": "B", "LOAD_DATE": "2026-01-01", "LOAD_TIMESTAMP": "2026-01-01T01:02:03"}
     (tmp_path / "in").mkdir()
