@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from goldrec.operators import gates, matching, payload, rules, similar, standardize, survive
 from goldrec.plans import marts, pipeline, reports
-from goldrec.plans.provider_view import provider_src, silver_shape
+from goldrec.plans.provider_view import provider_count, provider_src, silver_shape
 from goldrec.schemas import ATTRIBUTES, AUDIT, FUZZY_PRECISION, GOLD, GOLD_COLUMNS, PAYLOAD
 from goldrec.session import scratch_dir
 from goldrec.sources import export, files, footers, history, tables
@@ -504,7 +504,7 @@ def payload_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def payload_pivot_noshuffle(spark: SparkSession, sf: str) -> DataFrame:
-    return payload.extract_fields(payload.parse_payload(bronze_rows(spark, sf)))
+    return payload.extract_fields(payload.parse_payload(bronze_rows(spark, sf)), provider_count(spark, sf))
 
 
 @query

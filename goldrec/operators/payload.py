@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from goldrec.functions.text import blank_to_null, lookup, or_empty, strip_whitespace
 from goldrec.schemas import ATTRIBUTES, AUDIT, FIELD_CONFIG, PAYLOAD, SILVER_COLUMNS, FieldMatch
+from goldrec.session import spread
 
 # Code base of a country name; any other name falls back to US.
 COUNTRY_CODE_BASE = {
@@ -165,11 +166,13 @@ def pivot_fields(fields: DataFrame) -> DataFrame:
     )
 
 
-def extract_fields(parsed: DataFrame) -> DataFrame:
+def extract_fields(parsed: DataFrame, count: int | None = None) -> DataFrame:
     """Same rows as explode and pivot, each read from its own payload.
 
     The only shuffle removes byte-identical payloads of one load; it carries a digest of
-    the text instead of the text, and combines copies before shuffling.
+    the text instead of the text, and combines copies before shuffling, into as many tasks as the
+    session sets. Given at most ``count`` payloads, they are dealt by their digest to tasks whose number
+    grows with it, and all copies of one meet in its task.
     """
     names, values = F.col("provider.fields.name"), F.col("provider.fields.values")
     # Map keys must be unique and present: a repeated name keeps its first entry. Only
@@ -190,7 +193,9 @@ def extract_fields(parsed: DataFrame) -> DataFrame:
     found = [
         F.get(F.try_element_at("_by_name", F.lit(a)), F.lit(0)).alias(a) for a in ATTRIBUTES
     ]
-    return kept.select(*found, *AUDIT, "PAYLOAD_ID").distinct().drop("PAYLOAD_ID")
+    found_rows = kept.select(*found, *AUDIT, "PAYLOAD_ID")
+    dealt = found_rows if count is None else spread(found_rows, count, F.col("PAYLOAD_ID"))
+    return dealt.distinct().drop("PAYLOAD_ID")
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
@@ -202,9 +207,9 @@ def clean_strings(df: DataFrame) -> DataFrame:
     ])
 
 
-def silver(bronze: DataFrame) -> DataFrame:
-    """Bronze envelopes to clean standardised records."""
-    return clean_strings(extract_fields(parse_payload(bronze)))
+def silver(bronze: DataFrame, count: int | None = None) -> DataFrame:
+    """Bronze envelopes, at most ``count`` if given, to clean standardised records."""
+    return clean_strings(extract_fields(parse_payload(bronze), count))
 
 
 def null_report(df: DataFrame) -> DataFrame:

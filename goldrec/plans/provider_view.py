@@ -19,6 +19,15 @@ TABLES = {
 }
 
 
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def provider_count(spark: SparkSession, sf_dir: str) -> int:
+    """Orders, counted in the footers: the view has at most as many rows."""
+    return _read(spark, sf_dir, "orders").count()
+
+
 def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """18 attributes, 7 audit columns and the unique ``SRC_KEY``.
 
@@ -27,16 +36,15 @@ def provider_src(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataF
     """
 
     def read(name: str) -> DataFrame:
-        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+        return _read(spark, sf_dir, name)
 
-    orders = read("orders")
     rows = (
-        orders.join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     if heavy:
-        rows = spread(rows, orders.count())
+        rows = spread(rows, provider_count(spark, sf_dir))
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
 
     def missing_every(n: int, value: Column) -> Column:

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TASK_ROWS = 50_000  # rows of a task that builds or parses payloads
@@ -44,12 +44,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(rows: DataFrame, count: int) -> DataFrame:
+def spread(rows: DataFrame, count: int, by: Column | None = None) -> DataFrame:
     """Deal ``count`` rows, at most about TASK_ROWS to a task, before CPU-heavy work.
 
     To be put right before that work: a shuffle between would deal the rows anew, by their bytes, which
     say nothing of the work. Adaptive execution leaves an explicit number of partitions alone. Rows are
-    dealt by a hash of their content, so that a task that is run again gets the same ones.
+    dealt by a hash of their content, so that a task that is run again gets the same ones; or by ``by``,
+    which an aggregation that groups by it needs no further shuffle for.
     """
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // TASK_ROWS))
-    return rows.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+    return rows.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]) if by is None else by)

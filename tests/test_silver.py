@@ -8,7 +8,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from catalog.queries import bronze_rows, flat_rows
+from catalog.queries import QUERIES, bronze_rows, flat_rows
 from goldrec import session
 from goldrec.operators import payload as p
 from goldrec.operators.standardize import Pick, explode_results, flatten_providers, standardised_count
@@ -148,6 +148,18 @@ def test_payload_work_is_dealt_by_rows_after_the_joins(spark, sf, monkeypatch):
     assert len(sizes) >= 25 and max(sizes) < 100
 
 
+@pytest.mark.parametrize("name", ["payload_pivot_noshuffle"])
+def test_copies_of_payloads_are_removed_in_tasks_that_grow_with_the_rows(spark, sf, monkeypatch, name):
+    monkeypatch.setattr(session, "TASK_ROWS", 50)
+    sizes = [r["count"] for r in QUERIES[name](spark, sf).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 25 and max(sizes) < 100
+
+
+def test_dealt_payloads_lose_only_their_copies(spark, sf):
+    twice = p.parse_payload(bronze_rows(spark, sf).limit(300).union(bronze_rows(spark, sf)))
+    assert rows(p.extract_fields(twice, 1_000)) == rows(p.extract_fields(twice))
+
+
 def test_gzipped_responses_are_archived_as_they_are_and_read_as_text(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "TEXT_LIMIT", 5_000)
     text = "".join(f"{n} été\n" for n in range(400))
