@@ -446,7 +446,7 @@ def payload_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Nested record to flat record to payload to standardised record, in one plan."""
     raw = raw_rows(spark, sf)
     flat = standardize.flatten_providers(raw, carry=AUDIT)
-    return payload.silver(payload.envelopes(flat))
+    return payload.silver(payload.envelopes(flat), provider_count(spark, sf))
 
 
 @query

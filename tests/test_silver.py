@@ -148,7 +148,7 @@ def test_payload_work_is_dealt_by_rows_after_the_joins(spark, sf, monkeypatch):
     assert len(sizes) >= 25 and max(sizes) < 100
 
 
-@pytest.mark.parametrize("name", ["payload_pivot_noshuffle"])
+@pytest.mark.parametrize("name", ["payload_pivot_noshuffle", "payload_roundtrip"])
 def test_copies_of_payloads_are_removed_in_tasks_that_grow_with_the_rows(spark, sf, monkeypatch, name):
     monkeypatch.setattr(session, "TASK_ROWS", 50)
     sizes = [r["count"] for r in QUERIES[name](spark, sf).groupBy(F.spark_partition_id()).count().collect()]
