@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from goldrec.llm import (
-    alignment, bpe, jaccard, language, licences, mixing, omh, quality, sharding, suffix, topk, toxicity, trie,
+    alignment, bpe, jaccard, language, licences, mixing, ngrams, omh, sharding, suffix, topk, toxicity, trie,
 )
 from goldrec.llm.common import prepare, table
 from goldrec.llm.oracles import ORACLES  # noqa: F401
@@ -32,7 +32,7 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return ngrams.quality_report(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
